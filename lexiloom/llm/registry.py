@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from lexiloom.llm import quality_rules
+from lexiloom.llm import mixing, packing, quality_rules
 
-QUERIES = {"op10_quality_rules": quality_rules.query}
+QUERIES = {
+    "op4_best_fit_packing": packing.query,
+    "op9_source_mixing": mixing.query,
+    "op10_quality_rules": quality_rules.query,
+}
 ORACLES = {"op10_quality_rules": quality_rules.ORACLE}
