@@ -64,7 +64,7 @@ def n_words(text: Column) -> Column:
     return F.when(text.isNull() | (trimmed == ""), F.lit(0)).otherwise(inner).cast("long")
 
 
-def ranked(df: DataFrame, key: str, order: list[str], size: str | None, out: str, per_slice: int = 20000) -> DataFrame:
+def ranked(df: DataFrame, key: str, order: list[str], size: str | None, out: str, per_slice: int = 2000) -> DataFrame:
     """df with out: the sum of size (1 each where None) over the rows before it, among rows of the same key,
     in the order given. order[0] must be an evenly spread integer (a hash); the others break ties.
 
