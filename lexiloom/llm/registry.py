@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from lexiloom.llm import mixing, packing, quality_rules
+from lexiloom.llm import mixing, near_dups, packing, quality_rules
 
 QUERIES = {
+    "op3_minhash_near_dups": near_dups.query,
     "op4_best_fit_packing": packing.query,
     "op9_source_mixing": mixing.query,
     "op10_quality_rules": quality_rules.query,
