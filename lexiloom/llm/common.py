@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +18,27 @@ SPACE_CLASS = r"[\x20\x09-\x0D]"
 SPACES = " \t\n\x0b\x0c\r"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives the executors this package, which their Python workers import; once an application."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    _SHIPPED.add(app)
+    top = Path(__file__).resolve().parents[1]
+    folder = tempfile.mkdtemp(prefix="lexiloom-code-")  # of the driver, which serves the file to the executors
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = Path(folder, f"{top.name}.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as file:
+        for source in sorted(top.rglob("*.py")):
+            file.write(source, source.relative_to(top.parent))
+    spark.sparkContext.addPyFile(str(path))
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -32,6 +55,7 @@ def stored(df: DataFrame) -> DataFrame:
     """df, written once as parquet in the shared folder and read again: the lineage ends there, and a lost
     executor costs no more than the read. The files go when the session's driver ends."""
     spark = df.sparkSession
+    ship(spark)
     path = f"{shared_dir(spark)}/lexiloom-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     atexit.register(_remove, spark, path)

@@ -3,8 +3,8 @@
 A signature has CHUNKS * WIDTH symbols of 16 bits. Two signatures that differ in at most CHUNKS * 2 - 1 symbols
 agree, by pigeonhole, in some chunk up to one symbol; so each chunk is entered once for each symbol left out,
 and every pair within that distance meets in an entry. (At the similarity of 0.85, all chunks of a pair
-differ in two symbols or more with a probability of 6e-7.) Candidates, also those beyond the distance, are
-confirmed by comparing whole shingle sets.
+differ in two symbols or more with a probability of 6e-7.) Candidates, also those beyond the
+distance, are confirmed by comparing whole shingle sets, unless their sketches rule them out for certain.
 
 Documents of equal sets are one node, the class, so copies never meet in pairs. In an entry, nodes meet a pivot that
 the entry's hash chooses; then classes that are not yet connected meet across components. So no link
@@ -30,8 +30,8 @@ from lexiloom.llm.components import components
 
 CHUNKS, WIDTH = 8, 5
 SYMBOLS = CHUNKS * WIDTH
-#: Candidates that differ in more symbols are not confirmed: at 0.85 alike, a share of 1e-8 of pairs does.
-MAX_DIFFERING = 20
+#: log2 of the bits of a set's sketch.
+SKETCH_BITS = 9
 _RNG = np.random.default_rng(20240301)
 _A = _RNG.integers(1, 1 << 63, SYMBOLS, dtype="u8") * np.uint64(2) + np.uint64(1)
 _B = _RNG.integers(0, 1 << 63, SYMBOLS, dtype="u8")
@@ -91,25 +91,33 @@ def entries(symbols: np.ndarray) -> np.ndarray:
     return _mix(out + tag * _M3).ravel()
 
 
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """The parity of how many shingles fall on each of SKETCH * 64 bits. Two sets' sketches differ in no more
+    bits than the sets have members that the other lacks, so many differing bits rule a pair out for certain."""
+    bits = np.bincount(_mix(shingles * _M3) >> np.uint64(64 - SKETCH_BITS), minlength=1 << SKETCH_BITS) & 1
+    return np.packbits(bits.astype("u1"), bitorder="little").view("<i8")
+
+
 def class_of(shingles: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(shingles.tobytes())
 
 
 def features(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """_id, n_shingles, node (null for an empty set) and signature of each row."""
+    """_id, n_shingles, node (null for an empty set), signature and sketch of each row."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, node, sig = [], [], []
+            n, node, sig, odd = [], [], [], []
             for text in batch.column(1):
                 s = shingle_set(text.as_py(), size)
                 n.append(len(s))
                 node.append(class_of(s) if len(s) else None)
                 sig.append(signature(s).astype("<u2").tobytes() if len(s) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(node, pa.binary()), pa.array(sig, pa.binary())], names=["_id", "n_shingles", "node", "sig"])
+                odd.append(sketch(s) if len(s) else None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(node, pa.binary()), pa.array(sig, pa.binary()), pa.array(odd, pa.list_(pa.int64()))], names=["_id", "n_shingles", "node", "sig", "odd"])
 
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"_id {kind}, n_shingles long, node binary, sig binary")
+    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"_id {kind}, n_shingles long, node binary, sig binary, odd array<long>")
 
 
 def index(nodes: DataFrame) -> DataFrame:
@@ -123,18 +131,14 @@ def index(nodes: DataFrame) -> DataFrame:
     return nodes.select("node", "sig").mapInArrow(run, "entry long, node binary")
 
 
-def _close(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose signatures differ in MAX_DIFFERING symbols at most."""
+def _possible(per_cent: int) -> str:
+    """Whether sets a and b can be alike: their sizes are near, and their sketches differ in few enough bits."""
+    bits = " + ".join(f"bit_count(oa[{k}] ^ ob[{k}])" for k in range((1 << SKETCH_BITS) // 64))
+    return f"100 * least(na, nb) >= {per_cent} * greatest(na, nb) AND {100 + per_cent} * ({bits}) <= {100 - per_cent} * (na + nb)"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, SYMBOLS) for c in (2, 3))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array((x != y).sum(1) <= MAX_DIFFERING))
 
-    left, right = nodes.select(F.col("node").alias("a"), F.col("sig").alias("sa")), nodes.select(F.col("node").alias("b"), F.col("sig").alias("sb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a binary, b binary")
+def _side(nodes: DataFrame, side: str) -> DataFrame:
+    return nodes.select(F.col("node").alias(side), F.col("n").alias(f"n{side}"), F.col("odd").alias(f"o{side}"))
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
@@ -177,30 +181,27 @@ def _sets(docs: DataFrame, feats: DataFrame, wanted: DataFrame, id_col: str, tex
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, per_cent: int = 85) -> DataFrame:
     """_id, n_shingles, component_id for each row of docs."""
     feats = stored(features(docs, id_col, text_col, size))
-    nodes = stored(feats.where("node IS NOT NULL").groupBy("node").agg(F.min("_id").alias("least"), F.first("sig").alias("sig")))
+    nodes = stored(feats.where("node IS NOT NULL").groupBy("node").agg(F.min("_id").alias("least"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("odd").alias("odd")))
     rows = index(nodes)
     # one pivot an entry, chosen anew by each entry's hash
     heads = rows.groupBy("entry").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("entry", "node").alias("h"), F.col("node").alias("node"))).alias("p")).where("n > 1")
     shared = stored(rows.join(heads.select("entry", F.col("p.node").alias("pivot")), "entry"))
     pairs = shared.where("node <> pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-    pairs = stored(_close(pairs, nodes))
+    pairs = pairs.join(_side(nodes, "a"), "a").join(_side(nodes, "b"), "b").where(_possible(per_cent)).select("a", "b")
+    pairs = stored(pairs)
     ends = shared.select("node").distinct()
     sets = stored(_sets(docs, feats, ends, id_col, text_col, size))
     edges = stored(_confirmed(pairs, sets, per_cent))
     roots = stored(components(edges))
-    # classes that share an entry but no component yet
-    while True:
-        named = shared.select("entry", "node").join(roots, "node", "left").select("entry", "node", F.coalesce("root", "node").alias("root"))
-        apart = named.groupBy("entry").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("entry")
-        named = named.join(apart, "entry", "left_semi")
-        x, y = named.select("entry", F.col("node").alias("a"), F.col("root").alias("ra")), named.select("entry", F.col("node").alias("b"), F.col("root").alias("rb"))
-        more = x.join(y, "entry").where("a < b AND ra <> rb").select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
-        more = stored(_close(more, nodes))
-        found = stored(_confirmed(more, sets, per_cent))
-        if found.isEmpty():
-            break
+    # classes that share an entry but no component yet; the join itself drops the pairs that sketches rule out
+    named = shared.select("entry", "node").join(roots, "node", "left").select("entry", "node", F.coalesce("root", "node").alias("root"))
+    apart = named.groupBy("entry").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("entry")
+    named = stored(named.join(apart, "entry", "left_semi").join(nodes.select("node", "n", "odd"), "node"))
+    x, y = (named.select("entry", F.col("node").alias(c), F.col("root").alias(f"r{c}"), F.col("n").alias(f"n{c}"), F.col("odd").alias(f"o{c}")) for c in "ab")
+    more = x.join(y, (x["entry"] == y["entry"]) & F.expr(f"a < b AND ra <> rb AND {_possible(per_cent)}")).select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
+    found = stored(_confirmed(more, sets, per_cent))
+    if not found.isEmpty():
         roots = stored(components(edges.unionByName(found)))
-        break
     of = nodes.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     first = of.groupBy("root").agg(F.min("least").alias("component_id"))
     of = of.join(first, "root").select(F.col("node").alias("_node"), "component_id")
@@ -208,6 +209,13 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", siz
     return out.select("_id", "n_shingles", F.coalesce("component_id", "_id").alias("component_id"))
 
 
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, per_cent: int = 80) -> DataFrame:
+    """The rows of docs with the least id of their group; rows of empty sets all stay. Repeated rows of that id stay as they are."""
+    found = classes(docs, id_col, text_col, size, per_cent).where("component_id <=> _id").select(F.col("_id").alias("_keep"), "n_shingles")
+    ids = found.groupBy("_keep").agg(F.count("*").alias("_n"))
+    return docs.join(ids.select("_keep").hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col("_keep")), "left_semi")
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = classes(read(spark, sf_dir, "documents"))
     return out.select(F.col("_id").alias("doc_id"), "n_shingles", "component_id", (F.col("_id") == F.col("component_id")).alias("kept"))

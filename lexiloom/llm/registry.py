@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from lexiloom.llm import mixing, near_dups, packing, quality_rules
+from lexiloom.llm import line_dedup, mixing, near_dups, packing, quality_rules, substring_dedup
 
 QUERIES = {
+    "op2_suffix_dedup": substring_dedup.query,
     "op3_minhash_near_dups": near_dups.query,
     "op4_best_fit_packing": packing.query,
+    "op7_line_dedup": line_dedup.query,
     "op9_source_mixing": mixing.query,
     "op10_quality_rules": quality_rules.query,
 }
