@@ -71,6 +71,20 @@ def _remove(spark: SparkSession, path: str) -> None:
         return
 
 
+def key_of(df: DataFrame, name: str) -> Column:
+    """The id column without nulls, for joins: a null becomes the least long, or a string that no id has."""
+    kind = df.schema[name].dataType.simpleString()
+    null = F.lit("\0") if kind == "string" else F.lit(-(2**63) if kind == "bigint" else -(2**31)).cast(kind)
+    return F.coalesce(F.col(name), null)
+
+
+def id_of(df: DataFrame, key: Column, name: str) -> Column:
+    """The id again from key_of()."""
+    kind = df.schema[name].dataType.simpleString()
+    null = F.lit("\0") if kind == "string" else F.lit(-(2**63) if kind == "bigint" else -(2**31)).cast(kind)
+    return F.nullif(key, null)
+
+
 def let(value: Column, body) -> Column:
     """body(value) with value computed once a row, also where body uses it inside a lambda."""
     return F.transform(F.array(value), body)[0]

@@ -7,7 +7,7 @@ equal strings lie in phrases of equal trigger, at equal distances from it.
 
 Dictionary: phrases are counted as wholes first. In a phrase that stands twice, every start repeats; a phrase
 whose trigger stands nowhere else has none. Only where different phrases share a trigger are they compared
-start by start, one copy of each: by fingerprints of the LENGTH-byte strings, which tell the equal ones
+further, one copy of each, in blocks of starts and where these leave it open start by start: by fingerprints of the LENGTH-byte strings, which tell the equal ones
 as the suffix order of dictionary and parse to that depth would, and which can be counted in parts, so
 that no trigger, however frequent, is brought into one task.
 
@@ -25,12 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiloom.llm.common import read, stored
+from lexiloom.llm.common import id_of, key_of, read, stored
 
 LENGTH = 400
 GRAM = 100
-#: Texts are parsed in blocks of so many starts; strings across two blocks belong to the first.
+#: Triggers are sought for so many starts at a time; a text's fingerprints take some 40 bytes a byte meanwhile.
 BLOCK = 1 << 20
+#: Starts of phrases that share a trigger are compared in blocks of so many before they are compared one by one.
+BLOCK_STARTS = 8
 _RNG = np.random.default_rng(20240302)
 _TABLE = _RNG.integers(0, 1 << 63, 256, dtype="u8") * np.uint64(2) + np.uint64(1)
 _BASE = 0x5851F42D4C957F2D
@@ -85,23 +87,20 @@ def triggers(grams: np.ndarray, width: int) -> np.ndarray:
     return (np.minimum(after[:n], before[width - 1 : width - 1 + n]) & np.uint64((1 << 22) - 1)).astype("i8")
 
 
-def phrases(text: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """first start, last start, trigger hash and phrase fingerprint of each phrase."""
-    out: list[list[np.ndarray]] = [[], [], [], []]
+def phrases(text: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
+    """first start, last start, trigger hash, phrase fingerprint and the trigger's place in each phrase."""
     raw = np.frombuffer(text, "u1")
-    for at in range(0, max(0, len(raw) - length + 1), BLOCK):
-        part = raw[at : at + BLOCK + length - 1]
-        hashed = Hashed(part)
-        grams = hashed.all(gram)
-        where = triggers(grams, length - gram + 1)
-        cut = np.flatnonzero(np.diff(where)) + 1
-        first, last = np.concatenate(([0], cut)), np.concatenate((cut - 1, [len(where) - 1]))
-        trigger = where[first]
-        # where the trigger stands in the phrase is part of what makes two phrases equal
-        whole = _mix(hashed.of(first, last + length) ^ _mix((last - first).astype("u8") * _M1 + (trigger - first).astype("u8")))
-        for o, x in zip(out, (first + at, last + at, grams[trigger], whole), strict=True):
-            o.append(x)
-    return tuple(np.concatenate(o) if o else np.zeros(0, "i8") for o in out)
+    if len(raw) < length:
+        return tuple(np.zeros(0, "i8") for _ in range(5))
+    hashed = Hashed(raw)
+    grams, width = hashed.all(gram), length - gram + 1
+    where = np.concatenate([triggers(grams[at : at + BLOCK + width - 1], width) + at for at in range(0, len(raw) - length + 1, BLOCK)])
+    cut_ = np.flatnonzero(np.diff(where)) + 1
+    first, last = np.concatenate(([0], cut_)), np.concatenate((cut_ - 1, [len(where) - 1]))
+    trigger = where[first]
+    # where the trigger stands in the phrase is part of what makes two phrases equal
+    whole = _mix(hashed.of(first, last + length) ^ _mix((last - first).astype("u8") * _M1 + (trigger - first).astype("u8")))
+    return first, last, grams[trigger], whole, trigger - first
 
 
 def _lists(parts: list[np.ndarray], kind: str) -> pa.Array:
@@ -120,37 +119,72 @@ def parse(docs: DataFrame, id_col: str, text_col: str, length: int) -> DataFrame
                 raw = [(t.as_py() or "").encode() for t in part.column(2)]
                 found = [phrases(b, length) for b in raw]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array([len(b) for b in raw], pa.int64()), pa.array([hashlib.sha256(b).hexdigest() for b in raw], pa.string()), *[_lists([f[k] for f in found], t) for k, t in enumerate(("i4", "i4", "i8", "i8"))]],
-                    names=["_id", "_mark", "n_bytes", "sha", "first", "last", "trigger", "phrase"],
+                    [part.column(0), part.column(1), pa.array([len(b) for b in raw], pa.int64()), pa.array([hashlib.sha256(b).hexdigest() for b in raw], pa.string()), *[_lists([f[k] for f in found], t) for k, t in enumerate(("i4", "i4", "i8", "i8", "i4"))]],
+                    names=["_id", "_mark", "n_bytes", "sha", "first", "last", "trigger", "phrase", "lead"],
                 )
 
-    rows = docs.select(F.col(id_col), F.xxhash64(text_col), F.col(text_col))
-    return rows.mapInArrow(run, f"_id {kind}, _mark long, n_bytes long, sha string, first array<int>, last array<int>, trigger array<long>, phrase array<long>")
+    rows = docs.select(key_of(docs, id_col).alias("_id"), F.xxhash64(text_col), F.col(text_col))
+    return rows.mapInArrow(run, f"_id {kind}, _mark long, n_bytes long, sha string, first array<int>, last array<int>, trigger array<long>, phrase array<long>, lead array<int>")
 
 
-def _starts(texts: DataFrame, length: int) -> DataFrame:
-    """trigger, string (fingerprint), _id, _mark, at and alone of each start of the listed phrases."""
-    kind = texts.schema["_id"].dataType.simpleString()
+def _blocks(texts: DataFrame, length: int) -> DataFrame:
+    """trigger, core, whole, uid, at and alone of each block of the listed phrases.
+
+    A block is BLOCK_STARTS starts at aligned distances from the trigger, also past the phrase's own. Its core is
+    what all its strings have in common, its whole what they cover; where the whole leaves the text it is made
+    a fingerprint that no other block has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made, size = [], 0
             for i in range(batch.num_rows):
-                hashed = Hashed((batch.column(2)[i].as_py() or "").encode())
-                values = batch.column(3)[i].values
-                first, last, trigger, alone = (values.field(k).to_numpy(zero_copy_only=False) for k in range(4))
-                n = (last - first + 1).astype("i8")
-                which = np.repeat(np.arange(len(n)), n)
-                at = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n) + first[which]
-                made.append((trigger[which], hashed.of(at, at + length).view("i8"), np.full(len(at), i), at.astype("i4"), alone[which]))
+                hashed = Hashed((batch.column(0)[i].as_py() or "").encode())
+                n = len(hashed.sums) - 1
+                values = batch.column(1)[i].values
+                first, last, lead, trigger, uid, alone = (values.field(k).to_numpy(zero_copy_only=False) for k in range(6))
+                place = first.astype("i8") + lead
+                low, high = (place - last) // BLOCK_STARTS, lead // BLOCK_STARTS
+                count = high - low + 1
+                which = np.repeat(np.arange(len(count)), count)
+                k = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count) + low[which]
+                to = place[which] - k * BLOCK_STARTS
+                at = to - BLOCK_STARTS + 1
+                tag = _mix(k.astype("u8") + _M1)
+                core = _mix(hashed.of(to, at + length) ^ tag)
+                inside = (at >= 0) & (to + length <= n)
+                whole = _mix(uid[which].astype("u8") * _M2 ^ tag)
+                whole[inside] = _mix(hashed.of(at[inside], to[inside] + length) ^ tag[inside])
+                made.append((trigger[which], core.view("i8"), whole.view("i8"), uid[which], at.astype("i4"), alone[which]))
                 size += len(at)
                 if size > 200_000 or i + 1 == batch.num_rows:
-                    t, s, row, at, alone = (np.concatenate(x) for x in zip(*made, strict=True))
-                    row = pa.array(row)
-                    yield pa.RecordBatch.from_arrays([pa.array(t), pa.array(s), batch.column(0).take(row), batch.column(1).take(row), pa.array(at), pa.array(alone)], names=["trigger", "string", "_id", "_mark", "at", "alone"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*made, strict=True)], names=["trigger", "core", "whole", "uid", "at", "alone"])
+                    made, size = [], 0
+
+    return texts.select("_text", "_phrases").mapInArrow(run, "trigger long, core long, whole long, uid long, at int, alone boolean")
+
+
+def _starts(texts: DataFrame, length: int) -> DataFrame:
+    """trigger, string, uid, at and alone of each start of the listed blocks; string tells the start's distance from the trigger too."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made, size = [], 0
+            for i in range(batch.num_rows):
+                hashed = Hashed((batch.column(0)[i].as_py() or "").encode())
+                values = batch.column(1)[i].values
+                at, place, trigger, uid, alone = (values.field(k).to_numpy(zero_copy_only=False) for k in range(5))
+                which = np.repeat(np.arange(len(at)), BLOCK_STARTS)
+                start = at.astype("i8")[which] + np.tile(np.arange(BLOCK_STARTS), len(at))
+                fits = (start >= 0) & (start + length < len(hashed.sums))
+                which, start = which[fits], start[fits]
+                string = _mix(hashed.of(start, start + length) ^ _mix((place[which] - start).astype("u8") + _M2))
+                made.append((trigger[which], string.view("i8"), uid[which], start.astype("i4"), alone[which]))
+                size += len(start)
+                if size > 200_000 or i + 1 == batch.num_rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*made, strict=True)], names=["trigger", "string", "uid", "at", "alone"])
                     made, size = [], 0
 
-    return texts.select("_id", "_mark", "_text", "_phrases").mapInArrow(run, f"trigger long, string long, _id {kind}, _mark long, at int, alone boolean")
+    return texts.select("_text", "_blocks").mapInArrow(run, "trigger long, string long, uid long, at int, alone boolean")
 
 
 def cut(text: bytes, firsts: np.ndarray, lasts: np.ndarray, length: int = LENGTH) -> tuple[int, int, bytes]:
@@ -166,23 +200,36 @@ def cut(text: bytes, firsts: np.ndarray, lasts: np.ndarray, length: int = LENGTH
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
     """_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (bytes left, null where nothing is removed) of each row."""
     parsed = stored(parse(docs, id_col, text_col, length))
-    rows = parsed.select("_id", "_mark", F.explode(F.arrays_zip("first", "last", "trigger", "phrase")).alias("p")).select("_id", "_mark", "p.*")
+    rows = parsed.select("_id", "_mark", F.explode(F.arrays_zip("first", "last", "trigger", "phrase", "lead")).alias("p")).select("_id", "_mark", "p.*")
     often = rows.groupBy("trigger").agg(F.count("*").alias("n")).where("n > 1").select("trigger")
     shared = stored(rows.join(often, "trigger", "left_semi"))
-    dictionary = stored(shared.groupBy("trigger", "phrase").agg(F.count("*").alias("n"), F.min(F.struct("_id", "_mark", "first", "last")).alias("one")))
-    mixed = dictionary.groupBy("trigger").agg(F.count("*").alias("k")).where("k > 1").select("trigger")
-    unclear = dictionary.join(mixed, "trigger", "left_semi").select("one.*", "trigger", (F.col("n") == 1).alias("alone"))
     # only texts that share a trigger are fetched, once
     ids = shared.select("_id", "_mark").distinct()
-    named = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_mark"), F.col(text_col).alias("_text"))
-    texts = stored(named.join(ids.hint("shuffle_hash"), ["_id", "_mark"], "left_semi"))
-    lists = unclear.groupBy("_id", "_mark").agg(F.collect_list(F.struct("first", "last", "trigger", "alone")).alias("_phrases"))
-    one_each = texts.dropDuplicates(["_id", "_mark"])
-    starts = stored(_starts(one_each.join(lists.hint("shuffle_hash"), ["_id", "_mark"]), length))
+    named = docs.select(key_of(docs, id_col).alias("_id"), F.xxhash64(text_col).alias("_mark"), F.col(text_col).alias("_text"))
+    texts = stored(named.join(ids.hint("shuffle_hash"), ["_id", "_mark"], "left_semi").dropDuplicates(["_id", "_mark"]))
+    # phrases as wholes
+    dictionary = stored(shared.groupBy("trigger", "phrase").agg(F.count("*").alias("n"), F.min(F.struct("_id", "_mark", "first", "last", "lead")).alias("one")))
+    mixed = dictionary.groupBy("trigger").agg(F.count("*").alias("k")).where("k > 1").select("trigger")
+    unclear = dictionary.join(mixed, "trigger", "left_semi").select("one.*", "trigger", F.monotonically_increasing_id().alias("uid"), (F.col("n") == 1).alias("alone"))
+    unclear = stored(unclear)
+    # blocks: one that stands twice repeats at every start, one whose core stands alone at none
+    lists = unclear.groupBy("_id", "_mark").agg(F.collect_list(F.struct("first", "last", "lead", "trigger", "uid", "alone")).alias("_phrases"))
+    blocks = stored(_blocks(texts.join(lists.hint("shuffle_hash"), ["_id", "_mark"]), length))
+    met = blocks.groupBy("trigger", "core").agg(F.count("*").alias("n"), F.max("alone").alias("any_alone")).where("n > 1 AND any_alone").select("trigger", "core")
+    blocks = stored(blocks.join(met, ["trigger", "core"], "left_semi"))
+    kinds = stored(blocks.groupBy("trigger", "core", "whole").agg(F.count("*").alias("n"), F.min(F.struct("alone", "uid", "at")).alias("one")))
+    several = kinds.groupBy("trigger", "core").agg(F.count("*").alias("k")).where("k > 1").select("trigger", "core")
+    open_ = kinds.join(several, ["trigger", "core"], "left_semi").select("one.uid", "one.at", ((F.col("n") == 1) & F.col("one.alone")).alias("alone"))
+    # starts of the blocks that are left
+    phrase = unclear.select("uid", "_id", "_mark", "trigger", (F.col("first") + F.col("lead")).alias("place"))
+    lists = open_.join(phrase, "uid").groupBy("_id", "_mark").agg(F.collect_list(F.struct("at", "place", "trigger", "uid", "alone")).alias("_blocks"))
+    starts = stored(_starts(texts.join(lists.hint("shuffle_hash"), ["_id", "_mark"]), length))
     twice = starts.groupBy("trigger", "string").agg(F.count("*").alias("n"), F.max("alone").alias("any_alone")).where("n > 1 AND any_alone").select("trigger", "string")
-    single = starts.where("alone").join(twice, ["trigger", "string"], "left_semi").select("_id", "_mark", F.col("at").alias("first"), F.col("at").alias("last"))
+    single = starts.where("alone").join(twice, ["trigger", "string"], "left_semi").select("uid", F.col("at").alias("first"), F.col("at").alias("last"))
+    block = blocks.where("alone").join(kinds.where("n > 1").select("trigger", "core", "whole"), ["trigger", "core", "whole"], "left_semi").select("uid", F.col("at").alias("first"), (F.col("at") + BLOCK_STARTS - 1).alias("last"))
+    found = block.unionByName(single).join(phrase, "uid").select("_id", "_mark", "first", "last")
     whole = shared.join(dictionary.where("n > 1").select("trigger", "phrase"), ["trigger", "phrase"], "left_semi").select("_id", "_mark", "first", "last")
-    ranges = whole.unionByName(single).groupBy("_id", "_mark").agg(F.collect_set(F.struct("first", "last")).alias("_ranges"))
+    ranges = whole.unionByName(found).groupBy("_id", "_mark").agg(F.collect_set(F.struct("first", "last")).alias("_ranges"))
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,10 +243,10 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
                 names=["_i", "_m", "n_removed", "n_spans", "kept_sha256", "kept"],
             )
 
-    changed = one_each.join(ranges.hint("shuffle_hash"), ["_id", "_mark"]).select("_id", "_mark", "_text", "_ranges").mapInArrow(run, f"_i {kind}, _m long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    changed = texts.join(ranges.hint("shuffle_hash"), ["_id", "_mark"]).select("_id", "_mark", "_text", "_ranges").mapInArrow(run, f"_i {kind}, _m long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     joined = parsed.select("_id", "_mark", "n_bytes", "sha").join(changed, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_mark") == F.col("_m")), "left")
     zero = F.lit(0).cast("long")
-    return joined.select("_id", "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"), F.coalesce("kept_sha256", "sha").alias("kept_sha256"), "kept")
+    return joined.select(id_of(docs, F.col("_id"), id_col).alias("_id"), "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"), F.coalesce("kept_sha256", "sha").alias("kept_sha256"), "kept")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
