@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from lexiloom.llm import line_dedup, mixing, near_dups, packing, quality_rules, substring_dedup
+from lexiloom.llm import line_dedup, mixing, near_dups, packing, pii, quality_rules, substring_dedup
 
 QUERIES = {
     "op2_suffix_dedup": substring_dedup.query,
     "op3_minhash_near_dups": near_dups.query,
     "op4_best_fit_packing": packing.query,
     "op7_line_dedup": line_dedup.query,
+    "op8_personal_data": pii.query,
     "op9_source_mixing": mixing.query,
     "op10_quality_rules": quality_rules.query,
 }
