@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from lexiloom.llm import compression_quality, line_dedup, mixing, near_dups, packing, pii, quality_rules, substring_dedup
+from lexiloom.llm import ann, compression_quality, line_dedup, mixing, near_dups, packing, pii, quality_rules, substring_dedup
 
 QUERIES = {
     "op2_suffix_dedup": substring_dedup.query,
     "op3_minhash_near_dups": near_dups.query,
     "op4_best_fit_packing": packing.query,
     "op5_compression_quality": compression_quality.query,
+    "op6_nearest_vectors": ann.query,
     "op7_line_dedup": line_dedup.query,
     "op8_personal_data": pii.query,
     "op9_source_mixing": mixing.query,
