@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from lexiloom.llm import ann, compression_quality, line_dedup, mixing, near_dups, packing, pii, quality_rules, substring_dedup
+from lexiloom.llm import ann, compression_quality, html_extract, line_dedup, mixing, near_dups, packing, pii, quality_rules, substring_dedup
 
 QUERIES = {
+    "op1_html_extract": html_extract.query,
     "op2_suffix_dedup": substring_dedup.query,
     "op3_minhash_near_dups": near_dups.query,
     "op4_best_fit_packing": packing.query,
