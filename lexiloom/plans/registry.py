@@ -1,18 +1,272 @@
-"""The named queries of the engine and the SQL they are held against."""
+"""The named queries of the engine and the SQL they are held against.
+
+Limits and sizes in the SQL are those of the queries. `norm` is normalization as SQL can say it, which is right for
+texts whose only characters that case folding and lowering treat differently are ß, as in the tables given.
+"""
 
 from __future__ import annotations
 
+import io
+import zipfile
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiloom.session import table
+from lexiloom.functions.text import html_text, n_bytes, normalize, strip_tags, words
+from lexiloom.operators import bpe
+from lexiloom.operators.frequencies import alphabet_counts, pair_counts, word_counts
+from lexiloom.operators.shards import assign_shards, chunk_of_start, split_texts, stream_shards
+from lexiloom.operators.windows import chunked, next_token_windows, stream_of_chunks
+from lexiloom.session import scratch, ship, table
+from lexiloom.sources.documents import epub_text, of_language, texts_of
+from lexiloom.sources.tokens import read_tokens, stream_of, write_tokens
+
+LANG, MIN_FREQUENCY, VOCAB = "de", 20, 2000
+CHUNK_BYTES, SHARD_BYTES, PART_BYTES = 65_536, 1 << 20, 4096
+BIN_BYTES, CHUNK_TOKENS, CONTEXT = 1 << 20, 50_000, 64
+
+
+def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return table(spark, sf_dir, "documents")
+
+
+def _normal(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", "lang", normalize(F.col("text")).alias("text"))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").groupBy("lang").agg(F.count("*").alias("n"))
+    """Words of one language above the frequency cut, the most frequent first: what a vocabulary is learned from."""
+    counts = word_counts(_normal(of_language(_docs(spark, sf_dir), LANG)), min_frequency=MIN_FREQUENCY)
+    return counts.orderBy(F.desc("n"), "word")
+
+
+def lang_select(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return of_language(_docs(spark, sf_dir), LANG).select("doc_id", "source", "text")
+
+
+def lang_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _docs(spark, sf_dir).groupBy("lang").agg(F.count("*").alias("n_docs"), F.sum("n_chars").alias("n_chars"))
+
+
+def text_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _docs(spark, sf_dir).select("doc_id", n_bytes(F.col("text")).alias("bytes"), F.length("text").cast("long").alias("chars"))
+
+
+def split_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_of_start(_docs(spark, sf_dir), CHUNK_BYTES)
+
+
+def split_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stream_shards(_docs(spark, sf_dir), CHUNK_BYTES)
+
+
+def text_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = assign_shards(_docs(spark, sf_dir).where("text IS NOT NULL"), SHARD_BYTES)
+    return rows.groupBy("shard").agg(F.count("*").alias("n_rows"), F.sum(F.octet_length("text") + 1).cast("long").alias("bytes"))
+
+
+def text_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = split_texts(_docs(spark, sf_dir), PART_BYTES)
+    return parts.select("doc_id", "part", n_bytes(F.col("text")).alias("bytes"), F.md5("text").alias("md5"))
+
+
+def norm_lower(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _docs(spark, sf_dir).select("doc_id", F.lower("text").alias("text"))
+
+
+def norm_nfkc_casefold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _normal(_docs(spark, sf_dir)).select("doc_id", "text")
+
+
+def doc_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _docs(spark, sf_dir).select("doc_id", F.size(words(F.col("text"))).cast("long").alias("n_words"))
+
+
+def all_word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_counts(_normal(_docs(spark, sf_dir)))
+
+
+def min_freq_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_counts(_normal(_docs(spark, sf_dir)), min_frequency=MIN_FREQUENCY)
+
+
+def alphabet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alphabet_counts(all_word_counts(spark, sf_dir))
+
+
+def bpe_pair_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pair_counts(all_word_counts(spark, sf_dir))
+
+
+def bpe_first_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_pair_counts(spark, sf_dir).orderBy(F.desc("n"), "left", "right").limit(1)
+
+
+def _vocabulary(spark: SparkSession, sf_dir: str) -> bpe.Vocabulary:
+    return bpe.learn(_docs(spark, sf_dir), VOCAB, MIN_FREQUENCY)
+
+
+def bpe_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _vocabulary(spark, sf_dir).tables(spark)[0]
+
+
+def bpe_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _vocabulary(spark, sf_dir).tables(spark)[1]
+
+
+def encode_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode(_docs(spark, sf_dir).select("doc_id", "text"), _vocabulary(spark, sf_dir)).select("doc_id", "tokens")
+
+
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_tokens(spark, sf_dir).select("doc_id", F.size("tokens").cast("long").alias("n_tokens"))
+
+
+def decode_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What decoding gives back of each text: its normalized words end to end, here where all characters are known."""
+    vocabulary = _vocabulary(spark, sf_dir)
+    rows = bpe.encode(_docs(spark, sf_dir).select("doc_id", "text"), vocabulary)
+    return bpe.decode(rows.drop("text"), vocabulary).select("doc_id", "text")
+
+
+def _code_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream whose tokens are the texts' code points, which SQL can make too."""
+    docs = _docs(spark, sf_dir).where("text <> ''")
+    return stream_of(docs.select("doc_id", F.transform(F.split("text", ""), lambda c: F.ascii(c)).alias("tokens")), "doc_id")
+
+
+def _written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "tokens")
+    write_tokens(_code_points(spark, sf_dir), path, shard_bytes=BIN_BYTES)
+    return read_tokens(spark, path, chunk_tokens=CHUNK_TOKENS)
+
+
+def bin_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    total = F.aggregate("tokens", F.lit(0).cast("long"), lambda a, x: a + x)
+    return _written(spark, sf_dir).select("shard", "chunk", F.size("tokens").cast("long").alias("n_tokens"), F.get("tokens", F.lit(0)).alias("first_token"), total.alias("sum_tokens"))
+
+
+def stream_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whole = chunked(_code_points(spark, sf_dir), CHUNK_TOKENS)
+    return whole.select("chunk", F.size("tokens").cast("long").alias("n_tokens"), F.get("tokens", F.lit(0)).alias("first_token"))
+
+
+def seq_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stream = stream_of_chunks(_written(spark, sf_dir), BIN_BYTES // 2)
+    text = lambda c: F.md5(F.array_join(F.transform(c, lambda x: x.cast("string")), ","))
+    return next_token_windows(stream, CONTEXT).select("window", text("input").alias("input"), text("target").alias("target"))
+
+
+def html_tagstrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select("page_id", strip_tags(F.col("html")).alias("text"))
+
+
+def html_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    text = html_text(F.col("html"))
+    return table(spark, sf_dir, "pages").select("page_id", F.regexp_replace(text, r"\s+", " ").alias("text"))
+
+
+def _book(markup: str) -> bytes:
+    """A book of one chapter."""
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as book:
+        book.writestr("META-INF/container.xml", '<container><rootfiles><rootfile full-path="o/p.opf"/></rootfiles></container>')
+        book.writestr("o/p.opf", '<package xmlns="http://www.idpf.org/2007/opf"><manifest><item id="a" href="a.xhtml" media-type="application/xhtml+xml"/></manifest><spine><itemref idref="a"/></spine></package>')
+        book.writestr("o/a.xhtml", markup)
+    return out.getvalue()
+
+
+def epub_chapters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each page made into a book and read again."""
+    ship(spark)
+
+    @F.arrow_udf("binary")
+    def books(values: pa.Array) -> pa.Array:
+        return pa.array([_book(v or "") for v in values.to_pylist()], pa.binary())
+
+    files = table(spark, sf_dir, "pages").select("page_id", books(F.col("html")).alias("content"))
+    return texts_of(files, epub_text).select("page_id", F.regexp_replace("text", r"\s+", " ").alias("text"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "flagship": flagship,
+    "lang_select": lang_select,
+    "lang_counts": lang_counts,
+    "text_bytes": text_bytes,
+    "split_chunks": split_chunks,
+    "split_stream": split_stream,
+    "text_shards": text_shards,
+    "text_parts": text_parts,
+    "norm_lower": norm_lower,
+    "norm_nfkc_casefold": norm_nfkc_casefold,
+    "doc_words": doc_words,
+    "word_counts": all_word_counts,
+    "min_freq_words": min_freq_words,
+    "alphabet_counts": alphabet,
+    "bpe_pair_counts": bpe_pair_counts,
+    "bpe_first_merge": bpe_first_merge,
+    "bpe_vocab": bpe_vocab,
+    "bpe_merges": bpe_merges,
+    "encode_tokens": encode_tokens,
+    "token_counts": token_counts,
+    "decode_words": decode_words,
+    "bin_roundtrip": bin_roundtrip,
+    "stream_chunks": stream_chunks,
+    "seq_windows": seq_windows,
+    "html_tagstrip": html_tagstrip,
+    "html_lines": html_lines,
+    "epub_chapters": epub_chapters,
+}
 
+_NORM = "norm AS (SELECT doc_id, lang, replace(lower(text), 'ß', 'ss') AS text FROM documents)"
+_WORDS = rf"""{_NORM}, words AS (SELECT word, count(*)::BIGINT AS n FROM (SELECT unnest(string_split_regex(text, '[ \t\n\v\f\r]+')) AS word FROM norm {{}})
+    WHERE word <> '' GROUP BY word)"""
+_ALL = _WORDS.format("")
+_PAIRS = f"""{_ALL}, pairs AS (SELECT word[i] AS "left", word[i + 1] AS "right", sum(n)::BIGINT AS n
+    FROM (SELECT word, n, unnest(range(1, length(word))) AS i FROM words) GROUP BY 1, 2)"""
+_STREAM = """stream AS (SELECT doc_id, text, (sum(length(text)) OVER (ORDER BY doc_id) - length(text))::BIGINT AS start FROM documents WHERE text <> ''),
+    chars AS (SELECT start + i - 1 AS pos, unicode(text[i]) AS c FROM (SELECT text, start, unnest(range(1, length(text) + 1)) AS i FROM stream))"""
+_LAID = """laid AS (SELECT doc_id, bytes, (sum(bytes) OVER (ORDER BY doc_id) - bytes)::BIGINT AS start FROM (SELECT doc_id, coalesce(octet_length(encode(text)), 0)::BIGINT AS bytes FROM documents))"""
+#: All text that a page shows, for pages with no markup that hides more than head, script, style and title.
+_PAGE_TEXT = r"""trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(
+    regexp_replace(regexp_replace(regexp_replace(html, '<!--.*?-->', '', 'gs'), '<head>.*?</head>', ' ', 'gs'), '</?(a|b)( [^>]*)?>', '', 'g')
+    .regexp_replace('<[^>]*>', ' ', 'g'), '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '&amp', '&'), '\s+', ' ', 'g'))"""
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "flagship": f"WITH {_WORDS.format(f"WHERE lang = '{LANG}'")} SELECT word, n FROM words WHERE n >= {MIN_FREQUENCY}",
+    "lang_select": f"SELECT doc_id, source, text FROM documents WHERE lang = '{LANG}'",
+    "lang_counts": "SELECT lang, count(*)::BIGINT AS n_docs, sum(n_chars)::BIGINT AS n_chars FROM documents GROUP BY lang",
+    "text_bytes": "SELECT doc_id, coalesce(octet_length(encode(text)), 0)::BIGINT AS bytes, length(text)::BIGINT AS chars FROM documents",
+    "split_chunks": f"WITH {_LAID} SELECT start // {CHUNK_BYTES} AS chunk, count(*)::BIGINT AS n_docs, sum(bytes)::BIGINT AS bytes FROM laid GROUP BY 1",
+    "split_stream": f"""WITH {_LAID}, parts AS (SELECT *, unnest(range(start // {CHUNK_BYTES}, (start + bytes - 1) // {CHUNK_BYTES} + 1)) AS k FROM laid WHERE bytes > 0)
+        SELECT doc_id, (k + 1)::INTEGER AS shard, greatest(k * {CHUNK_BYTES}, start)::BIGINT AS start,
+        (least((k + 1) * {CHUNK_BYTES}, start + bytes) - greatest(k * {CHUNK_BYTES}, start))::BIGINT AS length FROM parts""",
+    # texts of the tables are far shorter than half a shard, so none is cut
+    "text_shards": f"""WITH b AS (SELECT doc_id, (octet_length(encode(text)) + 1)::BIGINT AS bytes FROM documents WHERE text IS NOT NULL),
+        s AS (SELECT bytes, sum(bytes) OVER (ORDER BY doc_id) - bytes AS start FROM b)
+        SELECT (start // {SHARD_BYTES // 2} + 1)::INTEGER AS shard, count(*)::BIGINT AS n_rows, sum(bytes)::BIGINT AS bytes FROM s GROUP BY 1""",
+    "norm_lower": "SELECT doc_id, lower(text) AS text FROM documents",
+    "norm_nfkc_casefold": f"WITH {_NORM} SELECT doc_id, text FROM norm",
+    "doc_words": r"SELECT doc_id, len(list_filter(string_split_regex(coalesce(text, ''), '[ \t\n\v\f\r]+'), lambda w: w <> ''))::BIGINT AS n_words FROM documents",
+    "word_counts": f"WITH {_ALL} SELECT word, n FROM words",
+    "min_freq_words": f"WITH {_ALL} SELECT word, n FROM words WHERE n >= {MIN_FREQUENCY}",
+    "alphabet_counts": f"WITH {_ALL} SELECT word[i] AS symbol, sum(n)::BIGINT AS n FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words) GROUP BY 1",
+    "bpe_pair_counts": f'WITH {_PAIRS} SELECT "left", "right", n FROM pairs',
+    "bpe_first_merge": f'WITH {_PAIRS} SELECT "left", "right", n FROM pairs ORDER BY n DESC, "left", "right" LIMIT 1',
+    "decode_words": rf"WITH {_NORM} SELECT doc_id, regexp_replace(text, '[ \t\n\v\f\r]+', '', 'g') AS text FROM norm",
+    "bin_roundtrip": f"""WITH {_STREAM}, placed AS (SELECT pos // {BIN_BYTES // 2} AS shard, pos % {BIN_BYTES // 2} AS place, c FROM chars)
+        SELECT (shard + 1)::INTEGER AS shard, (place // {CHUNK_TOKENS})::BIGINT AS chunk, count(*)::BIGINT AS n_tokens, arg_min(c, place)::INTEGER AS first_token, sum(c)::BIGINT AS sum_tokens
+        FROM placed GROUP BY 1, 2""",
+    "stream_chunks": f"WITH {_STREAM} SELECT (pos // {CHUNK_TOKENS})::BIGINT AS chunk, count(*)::BIGINT AS n_tokens, arg_min(c, pos)::INTEGER AS first_token FROM chars GROUP BY 1",
+    "seq_windows": f"""WITH {_STREAM}, w AS (SELECT (pos // {CONTEXT})::BIGINT AS win, pos % {CONTEXT} AS i, pos, c FROM chars),
+        nxt AS (SELECT win, i, pos, c, lead(c) OVER (ORDER BY pos) AS d FROM w)
+        SELECT win AS "window", md5(string_agg(c::VARCHAR, ',' ORDER BY pos)) AS input, md5(string_agg(d::VARCHAR, ',' ORDER BY pos)) AS target
+        FROM nxt GROUP BY win HAVING count(d) = {CONTEXT}""",
+    "html_tagstrip": "SELECT page_id, regexp_replace(html, '<[^>]*>', ' ', 'g') AS text FROM pages",
+    "html_lines": f"SELECT page_id, {_PAGE_TEXT} AS text FROM pages",
+    "epub_chapters": f"SELECT page_id, {_PAGE_TEXT} AS text FROM pages",
+}

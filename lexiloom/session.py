@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import uuid
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
 #: Settings that suit a laptop run and do not hurt on a cluster; a caller's own settings win.
@@ -12,6 +19,7 @@ DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
+_SHIPPED: set[str] = set()
 
 
 def session(master: str = "local[*]", app: str = "lexiloom", **conf: str) -> SparkSession:
@@ -24,3 +32,45 @@ def session(master: str = "local[*]", app: str = "lexiloom", **conf: str) -> Spa
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the parquet tables under a directory; the path may be of any store that Spark reads."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives the executors this package, which their Python workers import; once an application."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    _SHIPPED.add(app)
+    top = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="lexiloom-code-")  # of the driver, which serves the file to the executors
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = Path(folder, f"{top.name}.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as file:
+        for source in sorted(top.rglob("*.py")):
+            file.write(source, source.relative_to(top.parent))
+    spark.sparkContext.addPyFile(str(path))
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir; one of our own only where none is set."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not found:
+        found = f"file://{tempfile.mkdtemp(prefix='lexiloom-')}"
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found.rstrip("/")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Removes scratch space in any store; the session may be gone by now."""
+    try:
+        jvm = spark.sparkContext._jvm
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    except Exception:
+        return
+
+
+def scratch(spark: SparkSession, kind: str) -> str:
+    """A new place in the shared folder, which goes when the driver ends."""
+    path = f"{shared_dir(spark)}/lexiloom-{kind}-{uuid.uuid4().hex}"
+    atexit.register(remove, spark, path)
+    return path
