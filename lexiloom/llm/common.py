@@ -2,75 +2,32 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-import zipfile
-from pathlib import Path
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lexiloom.session import scratch, ship
+
 #: The white space that separates words, as a Java and RE2 character class and as characters.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 SPACES = " \t\n\x0b\x0c\r"
 
 
-_SHIPPED: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Gives the executors this package, which their Python workers import; once an application."""
-    app = spark.sparkContext.applicationId
-    if app in _SHIPPED:
-        return
-    _SHIPPED.add(app)
-    top = Path(__file__).resolve().parents[1]
-    folder = tempfile.mkdtemp(prefix="lexiloom-code-")  # of the driver, which serves the file to the executors
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    path = Path(folder, f"{top.name}.zip")
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as file:
-        for source in sorted(top.rglob("*.py")):
-            file.write(source, source.relative_to(top.parent))
-    spark.sparkContext.addPyFile(str(path))
-
-
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; one of our own only where none is set."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        found = f"file://{tempfile.mkdtemp(prefix='lexiloom-')}"
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
 def stored(df: DataFrame) -> DataFrame:
     """df, written once as parquet in the shared folder and read again: the lineage ends there, and a lost
     executor costs no more than the read. The files go when the session's driver ends."""
     spark = df.sparkSession
     ship(spark)
-    path = f"{shared_dir(spark)}/lexiloom-{uuid.uuid4().hex}"
+    path = scratch(spark, "stage")
     df.write.option("compression", "zstd").parquet(path)
-    atexit.register(_remove, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    try:
-        jvm = spark.sparkContext._jvm
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-    except Exception:  # the session may be gone by now; the folder is scratch space
-        return
-
-
 def key_of(df: DataFrame, name: str) -> Column:
     """The id column without nulls, for joins: a null becomes the least long, or a string that no id has."""
     kind = df.schema[name].dataType.simpleString()
