@@ -75,7 +75,7 @@ def texts_of(files: DataFrame, read, content_col: str = "content", errors: str =
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(texts, pa.string())], names=[*kept, "text"])
 
     rows = files.select(*[F.col(f"`{c}`") for c in kept], F.col(content_col))
-    return rows.mapInArrow(run, rows.drop(content_col).withColumn("text", F.lit("")).schema)
+    return rows.mapInArrow(run, rows.drop(content_col).schema.add("text", "string"))
 
 
 def _files(spark: SparkSession, path: str, suffix: str) -> DataFrame:
