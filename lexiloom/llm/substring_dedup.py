@@ -1,15 +1,15 @@
 """Repeated byte strings of a given length, by prefix-free parsing of the corpus.
 
-Parsing: a rolling hash over GRAM bytes is taken at every place; each LENGTH-byte string has one trigger, the
+Parsing: a rolling hash over a quarter of LENGTH is taken at every place; each LENGTH-byte string has one trigger, the
 leftmost gram of least hash inside it, which depends on the string's bytes alone. The string starts that share a
 trigger are consecutive and make a phrase (the bytes they cover), so a text is a parse of overlapping phrases and
 equal strings lie in phrases of equal trigger, at equal distances from it.
 
 Dictionary: phrases are counted as wholes first. In a phrase that stands twice, every start repeats; a phrase
 whose trigger stands nowhere else has none. Only where different phrases share a trigger are they compared
-further, one copy of each, in blocks of starts and where these leave it open start by start: by fingerprints of the LENGTH-byte strings, which tell the equal ones
-as the suffix order of dictionary and parse to that depth would, and which can be counted in parts, so
-that no trigger, however frequent, is brought into one task.
+further, one copy of each, in blocks of starts and, where these leave it open, start by start: by fingerprints of the
+LENGTH-byte strings, which tell the equal ones as the suffix order of dictionary and parse to that depth would, and
+which can be counted in parts, so that no trigger, however frequent, is brought into one task.
 
 Edge cases: a null text is empty. A text shorter than LENGTH has nothing removed. Equal rows repeat each
 other and lose all strings. Fingerprints are of 64 bits beside the trigger's 64.
@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 from lexiloom.llm.common import id_of, key_of, read, stored
 
 LENGTH = 400
-GRAM = 100
+#: A trigger is a gram of this part of a string.
+GRAMS = 4
 #: Triggers are sought for so many starts at a time; a text's fingerprints take some 40 bytes a byte meanwhile.
 BLOCK = 1 << 20
 #: Starts of phrases that share a trigger are compared in blocks of so many before they are compared one by one.
@@ -87,9 +88,9 @@ def triggers(grams: np.ndarray, width: int) -> np.ndarray:
     return (np.minimum(after[:n], before[width - 1 : width - 1 + n]) & np.uint64((1 << 22) - 1)).astype("i8")
 
 
-def phrases(text: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
+def phrases(text: bytes, length: int = LENGTH) -> tuple[np.ndarray, ...]:
     """first start, last start, trigger hash, phrase fingerprint and the trigger's place in each phrase."""
-    raw = np.frombuffer(text, "u1")
+    raw, gram = np.frombuffer(text, "u1"), max(1, length // GRAMS)
     if len(raw) < length:
         return tuple(np.zeros(0, "i8") for _ in range(5))
     hashed = Hashed(raw)
