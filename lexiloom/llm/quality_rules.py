@@ -73,11 +73,17 @@ def _repeat_words(w: Column) -> Column:
     return F.when(n < WINDOW, F.lit(0)).when(repeats, covered).otherwise(F.lit(0)).cast("long")
 
 
+def _adjacent(w: Column) -> Column:
+    """Words that the next word repeats."""
+    return F.size(F.filter(w, lambda x, i: F.coalesce(F.get(w, i + 1) == x, F.lit(False))))
+
+
 def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id_col and MEASURES, one row for each of docs. No shuffle: a projection over the scan."""
     text = F.coalesce(F.col("_text"), F.lit(""))
     df = docs.select(F.col(id_col).alias(id_col), F.col(text_col).alias("_text"))
     df = df.select(id_col, text.alias("_text"), words(text).alias("_words"))
+    # let() keeps a measurement in one piece: moved below by the optimizer, it still splits the text once
     t, w = F.col("_text"), F.col("_words")
     lines = F.filter(F.split(t, "\n"), lambda x: F.translate(x, SPACES, "") != "")
     n_lines = let(lines, lambda x: F.struct(F.size(x).alias("n"), (F.size(x) - F.size(F.array_distinct(x))).alias("dup")))
@@ -87,10 +93,10 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         (F.length(t) - _count_of(t, SPACES)).cast("long").alias("word_chars"),
         _count_of(t, SYMBOLS).cast("long").alias("n_symbols"),
         n_lines.alias("_lines"),
-        _repeat_words(w).alias("n_repeat_words"),
+        let(w, _repeat_words).alias("n_repeat_words"),
         _count_of(t, "!").cast("long").alias("n_exclaim"),
         (F.length(t) - F.length(F.regexp_replace(t, r"\p{Lu}+", ""))).cast("long").alias("n_upper"),
-        F.size(F.filter(w, lambda x, i: F.coalesce(F.get(w, i + 1) == x, F.lit(False)))).cast("long").alias("n_adjacent"),
+        let(w, _adjacent).cast("long").alias("n_adjacent"),
         F.regexp_count(t, F.lit(r"(?i)\b(?:" + "|".join(INSULTS) + r")\b")).cast("long").alias("n_insults"),
     )
     return df.select(id_col, *[F.col("_lines")["n"].cast("long").alias(m) if m == "n_lines" else F.col("_lines")["dup"].cast("long").alias(m) if m == "n_dup_lines" else F.col(m) for m in MEASURES])
@@ -110,7 +116,10 @@ def filter_rows(docs: DataFrame, policy: str = POLICY, id_col: str = "doc_id", t
     """The rows of docs that the policy keeps, with their own columns. Each row is judged by itself, so ids need not be unique."""
     named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
     led = ledger(named.select(F.col("_row"), F.col("_row")[text_col].alias("text")), "_row", "text")
-    return verdict(led, policy).where("kept").select("_row.*")
+    # a filter moves below a projection and takes the measurements' expressions with it, once for each rule that names
+    # them; it stays above one that numbers the rows
+    judged = verdict(led, policy).select("_row", "kept", F.monotonically_increasing_id().alias("_number"))
+    return judged.where("kept AND _number >= 0").select("_row.*")
 
 
 def ablations(led: DataFrame, policy: str = POLICY) -> DataFrame:
