@@ -21,7 +21,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 
 
 def components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
-    """node, root for each node of an edge (u, v): the least node of its component. Self-edges are dropped.
+    """node, root for each node of an edge (u, v) that is not the least of its component, which is the root. Self-edges are dropped.
 
     Rounds of large star and small star, which halve distances, until the edges are stars. Each round is
     stored, so the plan stays short; the number of rounds grows with the logarithm of the longest path."""

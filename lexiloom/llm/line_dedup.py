@@ -113,8 +113,8 @@ def _kept(text: str, gone: set[int]) -> tuple[str, int, int, int]:
     return "\n".join(out), len(lines), len(lines) - len(out), len(spans)
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with text_col less its repeated chunks, and the columns _n_lines, _n_removed and _n_chunks."""
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counts: bool = False) -> DataFrame:
+    """docs with text_col less its repeated chunks. With counts: id and text alone, then n_lines, n_removed (lines) and n_chunks."""
     gone = stored(removals(docs, id_col, text_col))
     own = docs.columns
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("_row"), F.col(id_col).alias("_i"), F.xxhash64(text_col).alias("_m"), F.col(text_col).alias("_text"))
@@ -128,10 +128,12 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         return pd.DataFrame(out, columns=["text", "n_lines", "n_removed", "n_chunks"])
 
     done = joined.select("_row", cut("_text", "_gone").alias("_cut"))
-    return done.select(*[F.col("_cut")["text"].alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in own], F.col("_cut")["n_lines"].alias("_n_lines"), F.col("_cut")["n_removed"].alias("_n_removed"), F.col("_cut")["n_chunks"].alias("_n_chunks"))
+    if counts:
+        return done.select(F.col("_row")[id_col].alias(id_col), F.col("_cut")["text"].alias(text_col), "_cut.n_lines", "_cut.n_removed", "_cut.n_chunks")
+    return done.select(*[F.col("_cut")["text"].alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in own])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_lines, n_chunks, n_removed (lines), kept_sha256 of the text that is left (null: empty)."""
-    out = dedup(read(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_chunks").alias("n_chunks"), F.col("_n_removed").alias("n_removed"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+    out = dedup(read(spark, sf_dir, "documents").select("doc_id", "text"), counts=True)
+    return out.select("doc_id", "n_lines", "n_chunks", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))

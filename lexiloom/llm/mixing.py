@@ -88,7 +88,7 @@ def schedule(by: DataFrame) -> DataFrame:
     slots = by.where("_slots > 0").select("_source", "_n", F.explode(F.sequence(F.col("_first"), F.col("_first") + F.col("_slots") - 1)).alias("_v"))
     width = F.log2(F.col("_n")).cast("int")
     place = F.when(width == 0, F.lit(0)).otherwise(F.conv(F.reverse(F.lpad(F.conv(F.col("_v").cast("string"), 10, 2), 64, "0").substr(F.lit(65) - width, width)), 2, 10).cast("long"))
-    slots = stored(slots.select("_source", place.alias("slot"), F.shiftleft(place, F.lit(64 - 1) - width).alias("_order")))
+    slots = stored(slots.select("_source", place.alias("slot"), F.call_function("shiftleft", place, F.lit(63) - width).alias("_order")))
     return ranked(slots, "_source", ["_order"], None, "rank").select("slot", "_source", "rank")
 
 

@@ -211,9 +211,9 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", siz
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, per_cent: int = 80) -> DataFrame:
     """The rows of docs with the least id of their group; rows of empty sets all stay. Repeated rows of that id stay as they are."""
-    found = classes(docs, id_col, text_col, size, per_cent).where("component_id <=> _id").select(F.col("_id").alias("_keep"), "n_shingles")
-    ids = found.groupBy("_keep").agg(F.count("*").alias("_n"))
-    return docs.join(ids.select("_keep").hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col("_keep")), "left_semi")
+    ids = classes(docs, id_col, text_col, size, per_cent).where("component_id <=> _id").select(F.col("_id").alias("_keep")).distinct()
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(id_col).alias("_own"))
+    return rows.join(ids.hint("shuffle_hash"), F.col("_own").eqNullSafe(F.col("_keep")), "left_semi").select("_row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
