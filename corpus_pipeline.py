@@ -15,7 +15,9 @@ from lexiloom.llm.common import stored
 
 
 def _chars(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else docs
+    if "n_chars" not in docs.columns:
+        return docs
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,7 +27,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, less the multi-line chunks that stand elsewhere before."""
-    return _chars(line_dedup.dedup(docs).drop("_n_lines", "_n_removed", "_n_chunks"))
+    return _chars(line_dedup.dedup(docs))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +46,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [("quality_rules", quality), ("line_dedup", lines), ("near_duplicates", near), ("source_mixing", mix), ("best_fit_packing", pack)]
-#: Line hashes, MinHash and token ids are not expressible in SQL; tests hold the stages against brute force.
+#: SQL has no line hashes, MinHash or token ids; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
