@@ -74,3 +74,11 @@ def scratch(spark: SparkSession, kind: str) -> str:
     path = f"{shared_dir(spark)}/lexiloom-{kind}-{uuid.uuid4().hex}"
     atexit.register(remove, spark, path)
     return path
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """df, written once as parquet in the shared folder and read again: the lineage ends there, what made it is not
+    done again by later passes, and a lost executor costs no more than the read."""
+    path = scratch(df.sparkSession, "stage")
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
