@@ -10,6 +10,7 @@ from lexiloom.session import ship, stored
 from lexiloom.sources.documents import doc_ids, read_crawl, read_epub, read_pdf, read_text
 from lexiloom.sources.tokens import stream_of, write_tokens
 
+#: Fixed value: the name that a vocabulary is saved under.
 TOKENIZER = "kendi_tokenizerim.json"
 
 
