@@ -139,7 +139,7 @@ class Graph:
         return (odds, joint) if pairs else odds
 
 
-def fit(pages: list[str], rounds: int = 150, ridge: float = 1e-5) -> tuple[np.ndarray, np.ndarray]:
+def fit(pages: list[str], rounds: int = 80, ridge: float = 1e-5) -> tuple[np.ndarray, np.ndarray]:
     """Weights and edge tables that maximise the likelihood of pages labelled by data-content attributes, which hold for all that is inside."""
     trees = Trees()
     for page in pages:
