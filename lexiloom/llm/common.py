@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lexiloom.session import scratch, ship
+from lexiloom import session
+from lexiloom.session import ship
 
 #: The white space that separates words, as a Java and RE2 character class and as characters.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
@@ -19,13 +20,9 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """df, written once as parquet in the shared folder and read again: the lineage ends there, and a lost
-    executor costs no more than the read. The files go when the session's driver ends."""
-    spark = df.sparkSession
-    ship(spark)
-    path = scratch(spark, "stage")
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """session.stored(), with this package given to the executors that run df."""
+    ship(df.sparkSession)
+    return session.stored(df)
 
 
 def key_of(df: DataFrame, name: str) -> Column:
