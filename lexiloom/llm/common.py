@@ -56,16 +56,20 @@ def n_words(text: Column) -> Column:
     return F.when(text.isNull() | (trimmed == ""), F.lit(0)).otherwise(inner).cast("long")
 
 
-def ranked(df: DataFrame, key: str, order: list[str], size: str | None, out: str, per_slice: int = 2000) -> DataFrame:
+#: Slices that ranked() cuts the hash range in at most.
+MOST_SLICES = 1 << 16
+
+
+def ranked(df: DataFrame, key: str, order: list[str], size: str | None, out: str, per_slice: int = 250) -> DataFrame:
     """df with out: the sum of size (1 each where None) over the rows before it, among rows of the same key,
     in the order given. order[0] must be an evenly spread integer (a hash); the others break ties.
 
     No task holds a whole key: rows go by (key, slice of the hash range), slices are summed, and only the
-    table of slice sums, about rows / per_slice of them, is summed along a key. Two passes over df, which
-    should be a stored table."""
+    table of slice sums is summed along a key. There are rows / per_slice slices, but MOST_SLICES at most, so that a key's
+    sums stay few. Two passes over df, which should be a stored table."""
     weight = F.col(size) if size else F.lit(1)
     total = df.count()
-    bits = max(0, (max(1, total) // per_slice).bit_length())
+    bits = min(MOST_SLICES.bit_length() - 1, (max(1, total) // per_slice).bit_length())
     part = F.lit(0) if bits == 0 else F.shiftrightunsigned(F.col(order[0]), 64 - bits).cast("int")
     df = df.withColumn("_slice", part)
     # hashes are signed: read unsigned, the slices follow one another
