@@ -202,7 +202,9 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     """_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (bytes left, null where nothing is removed) of each row."""
     parsed = stored(parse(docs, id_col, text_col, length))
     rows = parsed.select("_id", "_mark", F.explode(F.arrays_zip("first", "last", "trigger", "phrase", "lead")).alias("p")).select("_id", "_mark", "p.*")
-    often = rows.groupBy("trigger").agg(F.count("*").alias("n")).where("n > 1").select("trigger")
+    # what a join looks up in is stored first where it comes of the same rows: the join then has an exchange of its own
+    # for the rows, in which a frequent trigger can be split
+    often = stored(rows.groupBy("trigger").agg(F.count("*").alias("n")).where("n > 1").select("trigger"))
     shared = stored(rows.join(often, "trigger", "left_semi"))
     # only texts that share a trigger are fetched, once
     ids = shared.select("_id", "_mark").distinct()
@@ -210,22 +212,22 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     texts = stored(named.join(ids.hint("shuffle_hash"), ["_id", "_mark"], "left_semi").dropDuplicates(["_id", "_mark"]))
     # phrases as wholes
     dictionary = stored(shared.groupBy("trigger", "phrase").agg(F.count("*").alias("n"), F.min(F.struct("_id", "_mark", "first", "last", "lead")).alias("one")))
-    mixed = dictionary.groupBy("trigger").agg(F.count("*").alias("k")).where("k > 1").select("trigger")
+    mixed = stored(dictionary.groupBy("trigger").agg(F.count("*").alias("k")).where("k > 1").select("trigger"))
     unclear = dictionary.join(mixed, "trigger", "left_semi").select("one.*", "trigger", F.monotonically_increasing_id().alias("uid"), (F.col("n") == 1).alias("alone"))
     unclear = stored(unclear)
     # blocks: one that stands twice repeats at every start, one whose core stands alone at none
     lists = unclear.groupBy("_id", "_mark").agg(F.collect_list(F.struct("first", "last", "lead", "trigger", "uid", "alone")).alias("_phrases"))
     blocks = stored(_blocks(texts.join(lists.hint("shuffle_hash"), ["_id", "_mark"]), length))
-    met = blocks.groupBy("trigger", "core").agg(F.count("*").alias("n"), F.max("alone").alias("any_alone")).where("n > 1 AND any_alone").select("trigger", "core")
+    met = stored(blocks.groupBy("trigger", "core").agg(F.count("*").alias("n"), F.max("alone").alias("any_alone")).where("n > 1 AND any_alone").select("trigger", "core"))
     blocks = stored(blocks.join(met, ["trigger", "core"], "left_semi"))
     kinds = stored(blocks.groupBy("trigger", "core", "whole").agg(F.count("*").alias("n"), F.min(F.struct("alone", "uid", "at")).alias("one")))
-    several = kinds.groupBy("trigger", "core").agg(F.count("*").alias("k")).where("k > 1").select("trigger", "core")
+    several = stored(kinds.groupBy("trigger", "core").agg(F.count("*").alias("k")).where("k > 1").select("trigger", "core"))
     open_ = kinds.join(several, ["trigger", "core"], "left_semi").select("one.uid", "one.at", ((F.col("n") == 1) & F.col("one.alone")).alias("alone"))
     # starts of the blocks that are left
     phrase = unclear.select("uid", "_id", "_mark", "trigger", (F.col("first") + F.col("lead")).alias("place"))
     lists = open_.join(phrase, "uid").groupBy("_id", "_mark").agg(F.collect_list(F.struct("at", "place", "trigger", "uid", "alone")).alias("_blocks"))
     starts = stored(_starts(texts.join(lists.hint("shuffle_hash"), ["_id", "_mark"]), length))
-    twice = starts.groupBy("trigger", "string").agg(F.count("*").alias("n"), F.max("alone").alias("any_alone")).where("n > 1 AND any_alone").select("trigger", "string")
+    twice = stored(starts.groupBy("trigger", "string").agg(F.count("*").alias("n"), F.max("alone").alias("any_alone")).where("n > 1 AND any_alone").select("trigger", "string"))
     single = starts.where("alone").join(twice, ["trigger", "string"], "left_semi").select("uid", F.col("at").alias("first"), F.col("at").alias("last"))
     block = blocks.where("alone").join(kinds.where("n > 1").select("trigger", "core", "whole"), ["trigger", "core", "whole"], "left_semi").select("uid", F.col("at").alias("first"), (F.col("at") + BLOCK_STARTS - 1).alias("last"))
     found = block.unionByName(single).join(phrase, "uid").select("_id", "_mark", "first", "last")
