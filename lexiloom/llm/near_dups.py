@@ -185,7 +185,9 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", siz
     rows = index(nodes)
     # one pivot an entry, chosen anew by each entry's hash
     heads = rows.groupBy("entry").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("entry", "node").alias("h"), F.col("node").alias("node"))).alias("p")).where("n > 1")
-    shared = stored(rows.join(heads.select("entry", F.col("p.node").alias("pivot")), "entry"))
+    # stored, so that the join has an exchange of its own for the rows, in which a frequent entry can be split
+    heads = stored(heads.select("entry", F.col("p.node").alias("pivot")))
+    shared = stored(rows.join(heads, "entry"))
     pairs = shared.where("node <> pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
     pairs = pairs.join(_side(nodes, "a"), "a").join(_side(nodes, "b"), "b").where(_possible(per_cent)).select("a", "b")
     pairs = stored(pairs)
@@ -196,7 +198,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", siz
     # classes that share an entry but no component yet; the join itself drops the pairs that sketches rule out
     named = shared.select("entry", "node").join(roots, "node", "left").select("entry", "node", F.coalesce("root", "node").alias("root"))
     apart = named.groupBy("entry").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("entry")
-    named = stored(named.join(apart, "entry", "left_semi").join(nodes.select("node", "n", "odd"), "node"))
+    named = stored(named.join(stored(apart), "entry", "left_semi").join(nodes.select("node", "n", "odd"), "node"))
     x, y = (named.select("entry", F.col("node").alias(c), F.col("root").alias(f"r{c}"), F.col("n").alias(f"n{c}"), F.col("odd").alias(f"o{c}")) for c in "ab")
     more = x.join(y, (x["entry"] == y["entry"]) & F.expr(f"a < b AND ra <> rb AND {_possible(per_cent)}")).select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
     found = stored(_confirmed(more, sets, per_cent))
