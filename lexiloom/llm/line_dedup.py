@@ -96,13 +96,14 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     named = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_mark"), F.col(text_col).alias("_text"))
     found = stored(_occurrences(named, False))
     first = F.min(F.struct("_id", "_mark", "place")).alias("first")
-    often = found.groupBy("chunk").agg(F.count("*").alias("n"), first).where("n > 1")
-    repeated = stored(found.join(often.select("chunk", "first"), "chunk"))
+    # stored, so that the join has an exchange of its own for the rows, in which a frequent chunk can be split
+    often = stored(found.groupBy("chunk").agg(F.count("*").alias("n"), first).where("n > 1").select("chunk", "first"))
+    repeated = stored(found.join(often, "chunk"))
     # the bytes of every repeated chunk: equal hashes are trusted only where the least and the greatest bytes agree
     by_row = repeated.groupBy("_id", "_mark").agg(F.collect_set("place").alias("_places"))
     texts = named.join(by_row.hint("shuffle_hash"), ["_id", "_mark"]).select("_id", "_mark", "_text", "_places")
     same = _occurrences(texts, True).groupBy("chunk").agg(F.min("bytes").alias("lo"), F.max("bytes").alias("hi")).where("lo = hi").select("chunk")
-    gone = repeated.join(same, "chunk", "left_semi").where("NOT (first <=> struct(_id, _mark, place))")
+    gone = repeated.join(stored(same), "chunk", "left_semi").where("NOT (first <=> struct(_id, _mark, place))")
     return gone.groupBy("_id", "_mark").agg(F.collect_set("place").alias("_gone"))
 
 
