@@ -2,7 +2,8 @@
 
 The mix has 2^k slots of equal token blocks. Slot j stands at the van der Corput point of j (its k bits
 reversed, over 2^k), and the cumulative target weights map that point to a source: slots of a source come
-evenly spaced, in any prefix of the schedule. The r-th slot of a source takes the r-th block of that
+evenly spaced, in any prefix of the schedule. What a source gives in all is its exact target, to the word; slots give
+the order, and a source's last slot may be partial. The r-th slot of a source takes the r-th block of that
 source's documents, shuffled by a seeded hash and laid end to end, beginning anew after the last one. The
 blocks that a source gives are thus a prefix of its repeated stream, so what a document gives follows from
 its place in the stream, which is summed without holding a source in one task.
@@ -64,7 +65,8 @@ def targets(narrow: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs:
     to = F.sum("_target").over(line)
     edge = lambda x: F.when(F.col("_total") == 0, F.lit(0)).otherwise(F.least(F.col("_n"), F.ceil(x / F.col("_total") * F.col("_n")))).cast("long")
     by = by.withColumn("_to", edge(to)).withColumn("_first", F.lag("_to", 1, 0).over(order)).withColumn("_slots", F.col("_to") - F.col("_first"))
-    quota = F.least(F.round(F.col("_slots").cast("double") * F.col("_total") / F.col("_n")).cast("long"), F.lit(max_epochs) * F.col("_source_size"))
+    # of the exact target, not of whole slots: a source under a slot still gives its share, and the last slot of a source is partial
+    quota = F.least(F.round("_target").cast("long"), F.lit(max_epochs) * F.col("_source_size"))
     return by.withColumn("_quota", F.coalesce(quota, F.lit(0))).select("_source", "_source_size", "_target", "_first", "_slots", "_n", "_quota")
 
 

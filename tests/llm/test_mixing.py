@@ -89,3 +89,11 @@ def test_nothing(spark):
     assert M.plan(df.limit(0)).count() == 0 and M.apply(df.limit(0)).count() == 0
     blank = frame(spark, [(1, None, None, "a", None), (2, " ", None, None, None)])
     assert [(r["_taken"], r["_target"]) for r in M.plan(blank).collect()] == [(0, 0.0)] * 2
+
+
+def test_small_sources_beside_large_ones(spark):
+    rows = [("a", 1_700_000_000), ("b", 1000), ("c", 2_000_000_000), ("d", 900), ("e", 1_300_000_000), ("f", 1200)]
+    by = M.targets(spark.createDataFrame(rows, "_source string, _size long")).collect()
+    want = targets(dict(rows))
+    assert all(abs(r["_target"] - want[r["_source"]]) < 1e-3 and abs(r["_quota"] - want[r["_source"]]) <= 1 for r in by)
+    assert all(r["_quota"] > 0 for r in by)
