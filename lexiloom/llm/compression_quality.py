@@ -6,7 +6,7 @@ text. A logistic calibration turns that, and the ratio of each size to the lengt
 
 Scores suit the fitted sample, in which both labels have up to PER_LABEL rows, not the share of labels in the corpus.
 The dictionaries and the calibration are fitted on a sample of labelled rows bounded by PER_LABEL (documents of
-each label, those of least hash) and SAMPLE_CHARS (of each, its first part; in fitting alone). One
+each label, those of least hash), on whole texts as in scoring. One
 half of the sample, by hash, trains the dictionaries, the other the calibration, so the calibration sees texts
 that the dictionaries have not. Scores are of whole texts.
 
@@ -28,9 +28,8 @@ from pyspark.sql import functions as F
 
 from lexiloom.llm.common import read
 
-#: Labelled documents of each label that are fitted on, and characters taken of each.
+#: Labelled documents of each label that are fitted on.
 PER_LABEL = 3000
-SAMPLE_CHARS = 4000
 DICTIONARY_BYTES = 32 * 1024
 #: Bytes of a window: a dictionary helps little beyond it.
 WINDOW = 4096
@@ -122,7 +121,7 @@ def sample(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, folds
     one = one.where(F.crc32(F.col("doc_id").cast("string")) % folds != 0).withColumn("hash", F.xxhash64(F.lit(11), "doc_id"))
     picked = [one.where(F.col("quality") == y).orderBy("hash", "doc_id").limit(per_label) for y in (0, 1)]
     chosen = F.broadcast(picked[0].unionByName(picked[1]))  # 2 * per_label rows of three numbers
-    rows = docs.join(chosen, "doc_id").select("doc_id", F.substring(F.coalesce("text", F.lit("")), 1, SAMPLE_CHARS).alias("text"), "quality", "hash")
+    rows = docs.join(chosen, "doc_id").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "quality", "hash")
     found = rows.groupBy("doc_id", "quality", "hash").agg(F.min("text").alias("text")).collect()
     return [(r["text"], r["quality"], r["hash"]) for r in sorted(found, key=lambda r: (r["hash"], r["doc_id"]))]
 

@@ -55,3 +55,10 @@ def test_whole_texts_count():
     head = "alpha beta gamma delta " * 400
     assert C.features(head + "zzz yyy xxx www " * 400, sizes)[0] < C.features(head + head, sizes)[0]
     assert C.features(None, sizes) is None and C.features(" \n", sizes) is None
+
+
+def test_fitted_on_whole_texts(spark):
+    rows = [(i, "plain words " * 900 + f"end {i}", "en", "s", 1) for i in range(20)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int")
+    got = C.sample(frame(spark, rows, extra=False), labels)
+    assert got and {t for t, _, _ in got} <= {r[1] for r in rows}
