@@ -36,7 +36,7 @@ KINDS = tuple(PATTERNS)
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 #: Kinds that the method adds, each with a pattern for its candidates.
 EXTRA = {
-    "secret": r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{20,128}+(?![A-Za-z0-9_-])",
+    "secret": r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{20,}+(?![A-Za-z0-9_-])",
     "number": r"(?<![0-9A-Za-z.+-])[0-9]{3,4}+[\x20.-][0-9]{2,4}+[\x20.-][0-9]{3,4}+(?![0-9A-Za-z-])(?!\.[0-9])",
     "name": r"(?<![\p{L}])(?:James|Mary|John|Robert|Michael|William|David|Maria|Anna|Peter|Paul|Thomas|Pierre|Marie|Jean|Hans|Jose|Carmen|Ahmet|Mehmet|Fatma)\x20\p{Lu}[\p{L}-]{1,30}+",
 }

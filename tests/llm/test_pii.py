@@ -95,3 +95,11 @@ def test_estimated_reliabilities():
     for (p, q), (a, b) in zip(rates, found, strict=True):
         assert abs(p - a) < 0.12 and abs(q - b) < 0.12
     assert post[1, 1, 1] > 0.9 > 0.1 > post[-1, -1, -1]
+
+
+def test_long_secrets(spark):
+    rng = random.Random(11)
+    rows = [(i, f"some words then token={''.join(rng.choices('abcdefABCDEF0123456789', k=n))} and the rest") for i, n in enumerate([32, 128, 129, 400, 5000] * 6)]
+    text = dict(rows)
+    for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        assert [(x["kind"], x["s"]) for x in r["added"]] == [("secret", text[r["doc_id"]].split("=")[1].split(" ")[0])]
