@@ -10,9 +10,14 @@ Documents of equal sets are one node, the class, so copies never meet in pairs.
 the entry's hash chooses; then classes that are not yet connected meet across components. So no link
 between different texts is lost, and the pairs inside a connected group are not listed.
 
+Where they meet across components, a pair comes out of the first entry that it shares, and only if two sketches let it:
+one of fixed size, and one in proportion to the set, whose parities tell nearly how many shingles differ. So what
+comes out of an entry are pairs that are linked, or within a few shingles of it, not all that meet there.
+
 Edge cases: a null, empty or blank text has an empty set and is linked with nothing; a text of fewer words than a
 shingle has its whole sequence as one shingle. Repeated rows belong to one class. Ids that repeat with other
-texts count as rows of their own. Sets are of 64-bit fingerprints of shingles; classes of 128 bits.
+texts, and null ids, count as rows of their own. Columns of the input may have any names: only id and text are read,
+under names of our own. An empty table gives no rows. Sets are of 64-bit fingerprints of shingles; classes of 128 bits.
 """
 
 from __future__ import annotations
@@ -30,8 +35,9 @@ from lexiloom.llm.components import components
 
 CHUNKS, WIDTH = 8, 5
 SYMBOLS = CHUNKS * WIDTH
-#: log2 of the bits of a set's sketch.
+#: log2 of the bits of a set's short sketch. A long one has LONG_FACTOR bits a shingle at least, in a power of two.
 SKETCH_BITS = 9
+LONG_FACTOR = 3
 _RNG = np.random.default_rng(20240301)
 _A = _RNG.integers(1, 1 << 63, SYMBOLS, dtype="u8") * np.uint64(2) + np.uint64(1)
 _B = _RNG.integers(0, 1 << 63, SYMBOLS, dtype="u8")
@@ -98,26 +104,34 @@ def sketch(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype("u1"), bitorder="little").view("<i8")
 
 
+def long_sketch(shingles: np.ndarray) -> np.ndarray:
+    """As sketch(), with LONG_FACTOR bits or more for each shingle. Places are the low bits of a hash, so the two halves of a
+    sketch combine by exclusive or into the sketch of half the bits."""
+    bits = max(6, int(LONG_FACTOR * len(shingles) - 1).bit_length())
+    odd = np.bincount((_mix(shingles * _M1 + _M3) & np.uint64((1 << bits) - 1)).astype("i8"), minlength=1 << bits) & 1
+    return np.packbits(odd.astype("u1"), bitorder="little").view("<i8")
+
+
 def class_of(shingles: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(shingles.tobytes())
 
 
 def features(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """_id, n_shingles, node (null for an empty set), signature and sketch of each row."""
+    """_id, _mark (hash of the text), n_shingles, node (null for an empty set), signature and sketch of each row."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, node, sig, odd = [], [], [], []
-            for text in batch.column(1):
+            for text in batch.column(2):
                 s = shingle_set(text.as_py(), size)
                 n.append(len(s))
                 node.append(class_of(s) if len(s) else None)
                 sig.append(signature(s).astype("<u2").tobytes() if len(s) else None)
                 odd.append(sketch(s) if len(s) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(node, pa.binary()), pa.array(sig, pa.binary()), pa.array(odd, pa.list_(pa.int64()))], names=["_id", "n_shingles", "node", "sig", "odd"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(node, pa.binary()), pa.array(sig, pa.binary()), pa.array(odd, pa.list_(pa.int64()))], names=["_id", "_mark", "n_shingles", "node", "sig", "odd"])
 
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"_id {kind}, n_shingles long, node binary, sig binary, odd array<long>")
+    return docs.select(F.col(id_col), F.xxhash64(text_col), F.col(text_col)).mapInArrow(run, f"_id {kind}, _mark long, n_shingles long, node binary, sig binary, odd array<long>")
 
 
 def index(nodes: DataFrame) -> DataFrame:
@@ -137,6 +151,29 @@ def _possible(per_cent: int) -> str:
     return f"100 * least(na, nb) >= {per_cent} * greatest(na, nb) AND {100 + per_cent} * ({bits}) <= {100 - per_cent} * (na + nb)"
 
 
+def _differ(a: str, b: str) -> str:
+    """In how many bits the long sketches a and b differ; the longer one is folded (sizes that are near differ by a factor of two at most)."""
+
+    def folded(x: str, y: str) -> str:
+        return f"if(size({x}) > size({y}), zip_with(slice({x}, 1, size({y})), slice({x}, size({y}) + 1, size({y})), (p, q) -> p ^ q), {x})"
+
+    return f"aggregate(zip_with({folded(a, b)}, {folded(b, a)}, (p, q) -> bit_count(p ^ q)), 0, (n, d) -> n + d)"
+
+
+def _met(sets: DataFrame, sigs: DataFrame) -> DataFrame:
+    """node, long (sketch) and entries of the nodes of sigs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 200):
+                part = batch.slice(at, 200)
+                longs = [long_sketch(np.frombuffer(x.as_buffer(), "<u8")) for x in part.column(1)]
+                keys = [entries(np.frombuffer(s.as_py(), "<u2").astype("u8")).view("i8") for s in part.column(2)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(longs, pa.list_(pa.int64())), pa.array(keys, pa.list_(pa.int64()))], names=["node", "long", "entries"])
+
+    return sets.join(sigs, "node").select("node", "set", "sig").mapInArrow(run, "node binary, long array<long>, entries array<long>")
+
+
 def _side(nodes: DataFrame, side: str) -> DataFrame:
     return nodes.select(F.col("node").alias(side), F.col("n").alias(f"n{side}"), F.col("odd").alias(f"o{side}"))
 
@@ -164,9 +201,9 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
 
 def _sets(docs: DataFrame, feats: DataFrame, wanted: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
     """node, set of the wanted nodes, from one document of each."""
-    ids = feats.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("_id").alias("_id")).select("_id").distinct()
-    named = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    texts = named.join(ids.hint("shuffle_hash"), "_id", "left_semi").select("_text")
+    ids = feats.join(wanted, "node", "left_semi").groupBy("node").agg(F.min(F.struct("_id", "_mark")).alias("one")).select(F.col("one._id").alias("_i"), F.col("one._mark").alias("_m")).distinct()
+    named = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_mark"), F.col(text_col).alias("_text"))
+    texts = named.join(ids.hint("shuffle_hash"), F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_mark") == F.col("_m")), "left_semi").select("_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -179,7 +216,7 @@ def _sets(docs: DataFrame, feats: DataFrame, wanted: DataFrame, id_col: str, tex
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, per_cent: int = 85) -> DataFrame:
-    """_id, n_shingles, component_id for each row of docs."""
+    """_id, _mark (hash of the text), n_shingles, component_id for each row of docs."""
     feats = stored(features(docs, id_col, text_col, size))
     nodes = stored(feats.where("node IS NOT NULL").groupBy("node").agg(F.min("_id").alias("least"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("odd").alias("odd")))
     rows = index(nodes)
@@ -198,9 +235,13 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", siz
     # classes that share an entry but no component yet; the join itself drops the pairs that sketches rule out
     named = shared.select("entry", "node").join(roots, "node", "left").select("entry", "node", F.coalesce("root", "node").alias("root"))
     apart = named.groupBy("entry").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("entry")
-    named = stored(named.join(stored(apart), "entry", "left_semi").join(nodes.select("node", "n", "odd"), "node"))
-    x, y = (named.select("entry", F.col("node").alias(c), F.col("root").alias(f"r{c}"), F.col("n").alias(f"n{c}"), F.col("odd").alias(f"o{c}")) for c in "ab")
-    more = x.join(y, (x["entry"] == y["entry"]) & F.expr(f"a < b AND ra <> rb AND {_possible(per_cent)}")).select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
+    named = stored(named.join(stored(apart), "entry", "left_semi"))
+    met = stored(_met(sets, nodes.join(named.select("node").distinct(), "node", "left_semi").select("node", "sig")))
+    named = stored(named.join(nodes.select("node", "n", "odd"), "node").join(met, "node"))
+    x, y = (named.select("entry", F.col("node").alias(c), F.col("root").alias(f"r{c}"), F.col("n").alias(f"n{c}"), F.col("odd").alias(f"o{c}"), F.col("long").alias(f"l{c}"), F.col("entries").alias(f"e{c}"), (F.array_position("entries", F.col("entry")).cast("int") - 1).alias(f"t{c}")) for c in "ab")
+    first = "NOT arrays_overlap(slice(ea, 1, ta), slice(eb, 1, tb))"  # entries of other places are never equal
+    near = f"{100 + per_cent} * {_differ('la', 'lb')} <= {100 - per_cent} * (na + nb)"
+    more = x.join(y, (x["entry"] == y["entry"]) & F.expr(f"a < b AND ra <> rb AND {_possible(per_cent)} AND {first} AND {near}")).select("a", "b").join(pairs, ["a", "b"], "left_anti")
     found = stored(_confirmed(more, sets, per_cent))
     if not found.isEmpty():
         roots = stored(components(edges.unionByName(found)))
@@ -208,16 +249,16 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", siz
     first = of.groupBy("root").agg(F.min("least").alias("component_id"))
     of = of.join(first, "root").select(F.col("node").alias("_node"), "component_id")
     out = feats.join(of, F.col("node") == F.col("_node"), "left")
-    return out.select("_id", "n_shingles", F.coalesce("component_id", "_id").alias("component_id"))
+    return out.select("_id", "_mark", "n_shingles", F.coalesce("component_id", "_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, per_cent: int = 80) -> DataFrame:
-    """The rows of docs with the least id of their group; rows of empty sets all stay. Repeated rows of that id stay as they are."""
-    ids = classes(docs, id_col, text_col, size, per_cent).where("component_id <=> _id").select(F.col("_id").alias("_keep")).distinct()
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(id_col).alias("_own"))
-    return rows.join(ids.hint("shuffle_hash"), F.col("_own").eqNullSafe(F.col("_keep")), "left_semi").select("_row.*")
+    """The rows of docs with the least id of their group; rows of empty sets all stay. Repeated rows of that id and text stay as they are."""
+    ids = classes(docs, id_col, text_col, size, per_cent).where("component_id <=> _id").select(F.col("_id").alias("_keep"), "_mark").distinct()
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(id_col).alias("_own"), F.xxhash64(text_col).alias("_hash"))
+    return rows.join(ids.hint("shuffle_hash"), F.col("_own").eqNullSafe(F.col("_keep")) & (F.col("_hash") == F.col("_mark")), "left_semi").select("_row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = classes(read(spark, sf_dir, "documents"))
-    return out.select(F.col("_id").alias("doc_id"), "n_shingles", "component_id", (F.col("_id") == F.col("component_id")).alias("kept"))
+    return out.select(F.col("_id").alias("doc_id"), "n_shingles", "component_id", F.col("_id").eqNullSafe(F.col("component_id")).alias("kept"))

@@ -84,6 +84,63 @@ def test_one_large_group(spark):
     assert {r["component_id"] for r in got.collect()} == {0}
 
 
+def nearly_linked(seed, n):
+    """Documents of one family, 6 of 300 words replaced in each: similar to about 0.79, so nearly none are linked."""
+    rng = random.Random(seed)
+    base = [f"w{k}" for k in range(300)]
+    rows = []
+    for i in range(n):
+        words = list(base)
+        for k in rng.sample(range(300), 6):
+            words[k] = f"x{i}y{k}"
+        rows.append((i, " ".join(words)))
+    # some that share five of their six places, so are linked
+    for i in range(0, n // 10):
+        rows.append((n + i, rows[i][1].replace(f"x{i}y", f"x{i}y", 1).replace("w7 ", "v7 ", 1)))
+    return rows
+
+
+def test_unlinked_family_makes_few_pairs(spark, monkeypatch):
+    made = {}
+    for n in (100, 200, 400):
+        counts = []
+        whole = N._confirmed
+        monkeypatch.setattr(N, "_confirmed", lambda pairs, *a, f=whole, c=counts: (c.append(pairs.count()), f(pairs, *a))[1])
+        rows = nearly_linked(3, n)
+        got = N.classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+        assert sorted((r["_id"], r["n_shingles"], r["component_id"]) for r in got.collect()) == brute(rows, 3, 85)
+        monkeypatch.setattr(N, "_confirmed", whole)
+        made[n] = counts
+    assert all(c[1] <= 2 * n for n, c in made.items()), made  # pairs met across components
+
+
+def test_long_sketches_never_rule_out():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    for n in (1, 20, 300, 5000):
+        a = np.unique(rng.integers(0, 1 << 62, n, dtype="u8"))
+        b = np.unique(np.concatenate((a[: n - n // 9], rng.integers(0, 1 << 62, n // 7, dtype="u8"))))
+        x, y = N.long_sketch(a), N.long_sketch(b)
+        while len(x) != len(y):
+            x, y = (x[: len(y)] ^ x[len(y) :], y) if len(x) > len(y) else (x, y[: len(x)] ^ y[len(x) :])
+        differ = sum(int(v).bit_count() for v in (x ^ y).view("u8"))
+        true = len(np.setxor1d(a, b))
+        assert differ <= true and differ >= 0.6 * true
+
+
+def test_null_ids_and_repeated_ids(spark):
+    rng = random.Random(12)
+    text = prose(rng, 60)
+    near = text.replace(text.split(" ")[30], "zzz", 1)
+    far = prose(rng, 60)
+    rows = [(None, text), (4, near), (2, far), (2, near)]
+    got = sorted(((r["_id"], r["component_id"]) for r in N.classes(spark.createDataFrame(rows, "doc_id long, text string"), size=1).collect()), key=str)
+    assert got == [(2, 2), (2, 2), (4, 2), (None, 2)]
+    kept = N.keep_one(spark.createDataFrame([(1, text), (2, near), (2, far)], "doc_id long, text string"), size=1).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted([(1, text), (2, far)])
+
+
 def test_entries_meet_within_the_distance():
     import numpy as np
 
