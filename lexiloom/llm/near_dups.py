@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from lexiloom.llm.common import read, stored
 from lexiloom.llm.components import components
+from lexiloom.llm.substring_dedup import Hashed
 
 CHUNKS, WIDTH = 8, 5
 SYMBOLS = CHUNKS * WIDTH
@@ -39,22 +40,17 @@ SYMBOLS = CHUNKS * WIDTH
 SKETCH_BITS = 9
 LONG_FACTOR = 3
 _RNG = np.random.default_rng(20240301)
-_A = _RNG.integers(1, 1 << 63, SYMBOLS, dtype="u8") * np.uint64(2) + np.uint64(1)
-_B = _RNG.integers(0, 1 << 63, SYMBOLS, dtype="u8")
+_A = _RNG.integers(0, 1 << 31, (SYMBOLS, 1), dtype="u4") * np.uint32(2) + np.uint32(1)
+_B = _RNG.integers(0, 1 << 32, (SYMBOLS, 1), dtype="u4")
 _M1, _M2, _M3 = (np.uint64(x) for x in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0x9E3779B97F4A7C15))
 
 
-class _Words(dict):
-    """64-bit fingerprints of words, computed once each."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-_WORDS = _Words()
+#: Words are hashed in stretches of so many bytes, so that a very long text takes no more memory for it.
+STRETCH = 1 << 20
+#: Longer words are hashed one by one.
+LONG_WORD = 256
+_IS_SPACE = np.zeros(256, bool)
+_IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -63,38 +59,62 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def word_hashes(text: bytes) -> np.ndarray:
+    """64-bit fingerprints of the words of a text, in order."""
+    raw = np.frombuffer(text, "u1")
+    edges = np.flatnonzero(np.diff(np.concatenate(([True], _IS_SPACE[raw], [True]))))
+    starts, ends = edges[::2], edges[1::2]
+    out, at = np.empty(len(starts), "u8"), 0
+    while at < len(starts):
+        to = max(at + 1, int(np.searchsorted(ends, starts[at] + STRETCH, "right")))
+        if ends[to - 1] - starts[at] <= STRETCH:
+            low = starts[at]
+            out[at:to] = Hashed(raw[low : ends[to - 1]]).of(starts[at:to] - low, ends[at:to] - low)
+        at = to
+    for i in np.flatnonzero(ends - starts > LONG_WORD):
+        out[i] = xxhash.xxh3_64_intdigest(text[starts[i] : ends[i]])
+    return out
+
+
 def shingle_set(text: str | None, size: int) -> np.ndarray:
     """Sorted distinct fingerprints of the text's shingles of `size` words."""
-    found = (text or "").encode().lower().split()  # bytes: A-Z are lowered and ASCII white space splits, nothing else
-    h = np.fromiter(map(_WORDS.__getitem__, found), "u8", len(found))
+    h = word_hashes((text or "").encode().lower())  # bytes: A-Z are lowered and ASCII white space splits, nothing else
     if not len(h):
         return h
     n = min(size, len(h))
     x = np.full(len(h) - n + 1, n * int(_M3) & (1 << 64) - 1, "u8")
     for k in range(n):
         x = _mix(x ^ h[k : k + len(x)]) + _M3
-    return np.unique(x)
+    x.sort()
+    return x[np.concatenate(([True], x[1:] != x[:-1]))]
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
-    """The lowest 16 bits of the least value under each of SYMBOLS hashes."""
-    least = np.full(SYMBOLS, ~np.uint64(0), "u8")
-    for at in range(0, len(shingles), 4096):
-        block = (shingles[at : at + 4096, None] * _A + _B) >> np.uint64(20)
-        least = np.minimum(least, block.min(0))
-    return (least & np.uint64(0xFFFF)).astype("u8")
+    """The lowest 16 bits of the least value under each of SYMBOLS hashes, which multiply the high half of a fingerprint."""
+    least, x = np.full(SYMBOLS, 0xFFFFFFFF, "u4"), (shingles >> np.uint64(32)).astype("u4")
+    for at in range(0, len(x), 1024):
+        block = _A * x[at : at + 1024]
+        block += _B
+        least = np.minimum(least, block.min(1))
+    return (least & np.uint32(0xFFFF)).astype("u8")
 
 
 def entries(symbols: np.ndarray) -> np.ndarray:
-    """The index entries of a signature: for each chunk and each symbol of it left out, the others."""
-    parts = symbols.reshape(CHUNKS, WIDTH)
-    out = np.zeros((CHUNKS, WIDTH), "u8")
+    """The index entries of each signature (the last axis): for each chunk and each symbol of it left out, the others."""
+    parts = symbols.reshape(*symbols.shape[:-1], CHUNKS, WIDTH)
+    out = np.zeros(parts.shape, "u8")
     for skip in range(WIDTH):
         for k in range(WIDTH):
             if k != skip:
-                out[:, skip] = _mix((out[:, skip] << np.uint64(16)) + out[:, skip] * _M3 + parts[:, k] + np.uint64(k + 1))
-    tag = np.arange(CHUNKS * WIDTH, dtype="u8").reshape(CHUNKS, WIDTH)
-    return _mix(out + tag * _M3).ravel()
+                out[..., skip] = _mix((out[..., skip] << np.uint64(16)) + out[..., skip] * _M3 + parts[..., k] + np.uint64(k + 1))
+    tag = np.arange(SYMBOLS, dtype="u8").reshape(CHUNKS, WIDTH)
+    return _mix(out + tag * _M3).reshape(symbols.shape)
+
+
+def _entries_of(sigs: pa.Array) -> np.ndarray:
+    """entries() of a column of signatures, as rows of signed numbers."""
+    flat = np.frombuffer(b"".join(s.as_py() for s in sigs), "<u2").astype("u8")
+    return entries(flat.reshape(len(sigs), SYMBOLS)).view("i8")
 
 
 def sketch(shingles: np.ndarray) -> np.ndarray:
@@ -139,8 +159,8 @@ def index(nodes: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = [entries(np.frombuffer(s.as_py(), "<u2").astype("u8")).view("i8") for s in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys) if keys else np.zeros(0, "i8")), batch.column(0).take(pa.array(np.repeat(np.arange(len(keys)), SYMBOLS)))], names=["entry", "node"])
+            keys = _entries_of(batch.column(1))
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), batch.column(0).take(pa.array(np.repeat(np.arange(len(keys)), SYMBOLS)))], names=["entry", "node"])
 
     return nodes.select("node", "sig").mapInArrow(run, "entry long, node binary")
 
@@ -168,8 +188,7 @@ def _met(sets: DataFrame, sigs: DataFrame) -> DataFrame:
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
                 longs = [long_sketch(np.frombuffer(x.as_buffer(), "<u8")) for x in part.column(1)]
-                keys = [entries(np.frombuffer(s.as_py(), "<u2").astype("u8")).view("i8") for s in part.column(2)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(longs, pa.list_(pa.int64())), pa.array(keys, pa.list_(pa.int64()))], names=["node", "long", "entries"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(longs, pa.list_(pa.int64())), pa.array(list(_entries_of(part.column(2))), pa.list_(pa.int64()))], names=["node", "long", "entries"])
 
     return sets.join(sigs, "node").select("node", "set", "sig").mapInArrow(run, "node binary, long array<long>, entries array<long>")
 

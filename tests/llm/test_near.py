@@ -102,7 +102,7 @@ def nearly_linked(seed, n):
 
 def test_unlinked_family_makes_few_pairs(spark, monkeypatch):
     made = {}
-    for n in (100, 200, 400):
+    for n in (100, 300):
         counts = []
         whole = N._confirmed
         monkeypatch.setattr(N, "_confirmed", lambda pairs, *a, f=whole, c=counts: (c.append(pairs.count()), f(pairs, *a))[1])
@@ -114,6 +114,21 @@ def test_unlinked_family_makes_few_pairs(spark, monkeypatch):
     assert all(c[1] <= 2 * n for n, c in made.items()), made  # pairs met across components
 
 
+def test_word_hashes():
+    rng = random.Random(6)
+    for stretch in (64, 1 << 20):
+        N.STRETCH = stretch
+        texts = ["", " ", "a", " a  b\t", "x" * 300 + " y", *["".join(rng.choices("ab \n\x0bé", k=rng.randint(1, 400))) for _ in range(200)]]
+        seen = {}
+        for t in texts:
+            words = t.encode().split()
+            got = N.word_hashes(t.encode()).tolist()
+            assert len(got) == len(words)
+            for w, h in zip(words, got, strict=True):
+                assert seen.setdefault(w, h) == h
+        assert len(set(seen.values())) == len(seen)
+
+
 def test_long_sketches_never_rule_out():
     import numpy as np
 
