@@ -2,11 +2,12 @@
 
 The mix has 2^k slots of equal token blocks. Slot j stands at the van der Corput point of j (its k bits
 reversed, over 2^k), and the cumulative target weights map that point to a source: slots of a source come
-evenly spaced, in any prefix of the schedule. What a source gives in all is its exact target, to the word; slots give
-the order, and a source's last slot may be partial. The r-th slot of a source takes the r-th block of that
-source's documents, shuffled by a seeded hash and laid end to end, beginning anew after the last one. The
-blocks that a source gives are thus a prefix of its repeated stream, so what a document gives follows from
-its place in the stream, which is summed without holding a source in one task.
+evenly spaced, in any prefix of the schedule. A source gives its exact target, to the word, dealt evenly over the
+slots that it holds; a source whose target is under a slot shares the slot that its interval lies in. The r-th slot of
+a source, in the order of the mix, takes the r-th block of that source's documents, shuffled by a seeded hash and laid
+end to end, beginning anew after the last one. So every prefix of the mix takes a prefix of each source's stream, and
+what a document gives, and where, follows from its place in the stream, which is summed without holding a source in
+one task. A document stands whole in the slot that its first word falls in.
 
 Edge cases: null text has size 0 and gives nothing; a null source is a source of its own, ordered last. Rows
 with the same id and text are separate rows, put in order by their content, so reruns agree. A table whose
@@ -16,7 +17,7 @@ only prefixed ones are used.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -26,8 +27,8 @@ from lexiloom.llm.common import n_words, ranked, read, stored
 WEIGHTS = (5.0, 2.0, 1.0)
 #: A source is repeated so many times at most.
 MAX_EPOCHS = 3
-#: log2 of the number of slots, where the mix has as many tokens; fewer tokens have a slot each at least.
-SLOT_BITS = 20
+#: Words that a slot's block has at least, and log2 of the most slots there are: beyond their product blocks grow with the mix.
+SLOT_WORDS, SLOT_BITS = 256, 20
 SEED = 20240229
 
 
@@ -38,7 +39,8 @@ def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
 
 
 def targets(narrow: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, slot_bits: int = SLOT_BITS) -> DataFrame:
-    """A row for each source: _source, _source_size, _target (exact share), _slots and _quota (words the schedule takes).
+    """A row for each source: _source, _source_size, _target (exact share), _first and _slots (its interval), _n (all slots) and
+    _quota (words the schedule takes).
 
     The windows without a partition run over one row a source, not over documents. The shares fill up like
     water: in order of cap / weight the first sources stop at their cap, and the level of the rest is what
@@ -59,7 +61,7 @@ def targets(narrow: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs:
     by = by.withColumn("_level", F.max("_level").over(all_))
     by = by.withColumn("_target", F.when(F.col("_total") == 0, F.lit(0.0)).otherwise(F.coalesce(F.least(F.col("_cap"), F.col("_level") * F.col("_w")), F.col("_cap"))))
     # van der Corput points of j < 2^k are the multiples of 2^-k, so the slots of an interval are counted without listing them
-    bits = F.when(F.col("_total") > 0, F.least(F.lit(slot_bits), F.floor(F.log2(F.greatest(F.col("_total"), F.lit(1))))).cast("int")).otherwise(F.lit(0))
+    bits = F.when(F.col("_total") > 0, F.least(F.lit(slot_bits), F.floor(F.log2(F.greatest(F.col("_total") / SLOT_WORDS, F.lit(1))))).cast("int")).otherwise(F.lit(0))
     by = by.withColumn("_n", F.pow(F.lit(2.0), bits).cast("long"))
     line = order.rowsBetween(Window.unboundedPreceding, 0)
     to = F.sum("_target").over(line)
@@ -70,17 +72,43 @@ def targets(narrow: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs:
     return by.withColumn("_quota", F.coalesce(quota, F.lit(0))).select("_source", "_source_size", "_target", "_first", "_slots", "_n", "_quota")
 
 
+def _rank(at: Column) -> Column:
+    """The block of its source's stream that word `at` of the stream falls in: the quota is dealt evenly over the slots held."""
+    wide = "decimal(38,0)"  # products of words and slots exceed a long
+    return F.call_function("div", at.cast("decimal(19,0)") * F.greatest(F.col("_slots"), F.lit(1)).cast("decimal(19,0)"), F.greatest(F.col("_quota"), F.lit(1)).cast(wide)).cast("long")
+
+
 def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
-    """_id, _source, _size, _order, _source_size, _target, _taken for each row of docs."""
+    """_id, _source, _size, _order, _source_size, _target, _taken and _times for each row of docs.
+
+    _times has a struct for each time that the row is taken: _slot (place in the mix), _rank (block of the source) and
+    _words (taken then: all, or the first ones where the source's target ends)."""
     narrow = stored(sizes(docs, id_col, text_col, source_col, seed))
-    by = targets(narrow, weights, max_epochs)
+    by = stored(targets(narrow, weights, max_epochs))
     placed = ranked(narrow, "_source", ["_order", "_id"], "_size", "_start")
-    by = by.withColumnRenamed("_source", "_of")
-    out = placed.join(by, F.col("_source").eqNullSafe(F.col("_of"))).drop("_of")
-    epochs = F.floor(F.col("_quota") / F.greatest(F.col("_source_size"), F.lit(1)))
-    part = F.col("_quota") - epochs * F.col("_source_size")
-    taken = epochs * F.col("_size") + F.greatest(F.lit(0), F.least(F.col("_size"), part - F.col("_start")))
-    return out.select("_id", "_source", "_size", "_order", "_source_size", "_target", taken.cast("long").alias("_taken"))
+    out = placed.join(by.withColumnRenamed("_source", "_of"), F.col("_source").eqNullSafe(F.col("_of"))).drop("_of")
+    # the stream is the source again and again: the places where this row stands in it, as far as the quota goes
+    begin = lambda e: e * F.col("_source_size") + F.col("_start")
+    words = lambda e: F.greatest(F.lit(0), F.least(F.col("_size"), F.col("_quota") - begin(e))).cast("long")
+    epochs = F.sequence(F.lit(0).cast("long"), F.lit(max_epochs - 1).cast("long"))
+    times = F.filter(F.transform(epochs, lambda e: F.struct(_rank(begin(e)).alias("_rank"), words(e).alias("_words"))), lambda t: t["_words"] > 0)
+    out = stored(out.select("_id", "_source", "_size", "_order", "_source_size", "_target", "_n", F.monotonically_increasing_id().alias("_row"), times.alias("_t")))
+    each = out.select("_row", F.col("_source").alias("_of"), F.explode("_t").alias("_t")).select("_row", "_of", "_t.*")
+    slots = held(by).select(F.col("_source").alias("_s"), F.col("rank").alias("_r"), F.col("slot").alias("_slot"))
+    each = each.join(slots, F.col("_of").eqNullSafe(F.col("_s")) & (F.col("_rank") == F.col("_r")))
+    each = each.groupBy("_row").agg(F.sum("_words").alias("_taken"), F.sort_array(F.collect_list(F.struct("_rank", "_slot", "_words"))).alias("_times"))
+    out = out.drop("_t").join(each, "_row", "left")
+    none = F.array().cast("array<struct<_rank:bigint,_slot:bigint,_words:bigint>>")
+    return out.select("_id", "_source", "_size", "_order", "_source_size", "_target", "_n", F.coalesce("_taken", F.lit(0)).cast("long").alias("_taken"), F.coalesce("_times", none).alias("_times"))
+
+
+def _reversed(v: Column, width: Column) -> Column:
+    """The lowest `width` bits of v in reverse."""
+    x = v
+    for shift, mask in ((1, 0x5555555555555555), (2, 0x3333333333333333), (4, 0x0F0F0F0F0F0F0F0F), (8, 0x00FF00FF00FF00FF), (16, 0x0000FFFF0000FFFF)):
+        x = F.shiftright(x, shift).bitwiseAND(F.lit(mask)).bitwiseOR(F.shiftleft(x.bitwiseAND(F.lit(mask)), shift))
+    x = F.shiftright(x, 32).bitwiseAND(F.lit(0xFFFFFFFF)).bitwiseOR(F.shiftleft(x, 32))
+    return F.when(width == 0, F.lit(0).cast("long")).otherwise(F.call_function("shiftrightunsigned", x, F.lit(64) - width))
 
 
 def schedule(by: DataFrame) -> DataFrame:
@@ -89,29 +117,44 @@ def schedule(by: DataFrame) -> DataFrame:
     Slots of a source are consecutive multiples of 2^-k; the bits of each, reversed, are its place."""
     slots = by.where("_slots > 0").select("_source", "_n", F.explode(F.sequence(F.col("_first"), F.col("_first") + F.col("_slots") - 1)).alias("_v"))
     width = F.log2(F.col("_n")).cast("int")
-    place = F.when(width == 0, F.lit(0)).otherwise(F.conv(F.reverse(F.lpad(F.conv(F.col("_v").cast("string"), 10, 2), 64, "0").substr(F.lit(65) - width, width)), 2, 10).cast("long"))
+    place = _reversed(F.col("_v"), width)
     slots = stored(slots.select("_source", place.alias("slot"), F.call_function("shiftleft", place, F.lit(63) - width).alias("_order")))
     return ranked(slots, "_source", ["_order"], None, "rank").select("slot", "_source", "rank")
 
 
-def apply(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
-    """docs as mixed: a row for each time a document is taken, the last one cut to the words that are taken of it.
+def held(by: DataFrame) -> DataFrame:
+    """schedule(), with rank 0 of a source that has words but no slot of its own: the slot that its interval lies in."""
+    width = F.log2(F.col("_n")).cast("int")
+    small = by.where("_slots = 0 AND _quota > 0").select(_reversed(F.col("_first") - 1, width).alias("slot"), "_source", F.lit(0).cast("long").alias("rank"))
+    return schedule(by).unionByName(small)
+
+
+def apply(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = SEED, slot_col: str | None = None) -> DataFrame:
+    """docs as mixed, in the order of the schedule's slots: a row for each time a document is taken, the last one cut to the
+    words that are taken of it.
 
-    Rows that the mix takes nothing of are left out. The columns are those of docs."""
+    Rows that the mix takes nothing of are left out. The columns are those of docs and, if slot_col names it, the slot.
+    Partitions hold ranges of slots one after another, and rows in them stand in order; as slots have equal blocks, so have the partitions."""
     p = plan(docs, id_col, text_col, source_col, weights, max_epochs, seed).where("_taken > 0")
     # the same hash of id and text as in sizes() finds the row again; rows equal in these share their words evenly, rounded down
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)).alias("_order"), F.col(id_col).alias("_id"), F.col(source_col).alias("_source"))
     shared = ["_id", "_order", "_source"]
-    p = p.groupBy(*shared).agg(F.floor(F.sum("_taken") / F.count("*")).alias("_taken"), F.max("_size").alias("_size")).where("_taken > 0")
-    hit = keyed.join(p.select(*[F.col(c).alias(f"_p{c}") for c in shared], "_taken", "_size"), [keyed[c].eqNullSafe(F.col(f"_p{c}")) for c in shared])
+    first = F.array(*[F.min(F.get("_times", F.lit(e))["_slot"]) for e in range(max_epochs)])
+    p = p.groupBy(*shared).agg(F.floor(F.sum("_taken") / F.count("*")).alias("_taken"), F.max("_size").alias("_size"), first.alias("_slots"), F.max("_n").alias("_n")).where("_taken > 0")
+    hit = keyed.join(p.select(*[F.col(c).alias(f"_p{c}") for c in shared], "_taken", "_size", "_slots", "_n"), [keyed[c].eqNullSafe(F.col(f"_p{c}")) for c in shared])
     whole, rest = F.floor(F.col("_taken") / F.col("_size")), F.col("_taken") % F.col("_size")
-    times = hit.select("_row", F.explode(F.transform(F.sequence(F.lit(1), whole + F.when(rest > 0, 1).otherwise(0)), lambda i: F.when(i <= whole, F.lit(None).cast("long")).otherwise(rest))).alias("_cut"))
+    turns = F.transform(F.sequence(F.lit(1), whole + F.when(rest > 0, 1).otherwise(0)), lambda i: F.struct(F.when(i > whole, rest).alias("cut"), F.coalesce(F.get("_slots", i.cast("int") - 1), F.lit(0)).alias("slot")))
+    times = hit.select("_row", "_order", "_n", F.explode(turns).alias("_t")).select("_row", "_order", "_n", F.col("_t.cut").alias("_cut"), F.col("_t.slot").alias("_slot"))
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    times = times.repartitionById(n, F.call_function("div", F.col("_slot") * n, F.col("_n")).cast("int")).sortWithinPartitions("_slot", "_order", "_cut")
     text = F.col("_row")[text_col]
     # the first _cut words with the white space between them
     cut = F.regexp_substr(text, F.concat(F.lit(r"^[\x20\x09-\x0D]*+(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+){"), F.col("_cut").cast("string"), F.lit("}+")))
-    return times.select(*[F.when(F.col("_cut").isNull(), text).otherwise(F.regexp_replace(cut, r"[\x20\x09-\x0D]+$", "")).alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in docs.columns])
+    out = [F.when(F.col("_cut").isNull(), text).otherwise(F.regexp_replace(cut, r"[\x20\x09-\x0D]+$", "")).alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in docs.columns]
+    return times.select(*out, *([F.col("_slot").alias(slot_col)] if slot_col else []))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With the columns asked for: slot, the place in the mix where the document stands first (null: nowhere), and n_times."""
     p = plan(read(spark, sf_dir, "documents"))
-    return p.select(F.col("_id").alias("doc_id"), F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), F.col("_taken").alias("taken"))
+    return p.select(F.col("_id").alias("doc_id"), F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), F.col("_taken").alias("taken"), F.get("_times", F.lit(0))["_slot"].alias("slot"), F.size("_times").alias("n_times"))

@@ -1,3 +1,4 @@
+import math
 import re
 
 from lexiloom.llm import mixing as M
@@ -69,6 +70,45 @@ def test_apply_takes_what_the_plan_says(spark):
     assert all(any((t or "").lstrip(" \t\n\v\f\r").startswith(r["text"].strip(" \t\n\v\f\r")) for t in text[r["doc_id"]]) for r in got)
 
 
+def test_the_mix_by_brute_force(spark):
+    """The schedule slot by slot: each slot's point names its source and takes the next block of that source's stream."""
+    rows = [(i, f"s{i % 3} " + " ".join(f"w{k}" for k in range(40 + 7 * i % 300)), None, f"src{i % 3}" if i % 40 else "tiny", None) for i in range(400)] + [(900, "one two", None, "z", None)]
+    df = frame(spark, rows)
+    by = {r["_source"]: r for r in M.targets(M.sizes(df)).collect()}
+    plan = M.plan(df).collect()
+    n = by["src0"]["_n"]
+    assert n >= 64
+    bits = n.bit_length() - 1
+    total, edge, owner = sum(r["_target"] for r in by.values()), 0.0, []
+    for s in sorted(by):
+        edge += by[s]["_target"]
+        owner.append((edge / total, s))
+    slots = {s: [] for s in by}
+    for j in range(n):
+        v = int(f"{j:0{bits}b}"[::-1], 2) / n
+        slots[next(s for e, s in owner if v < e)].append(j)
+    for s in by:
+        if not slots[s]:
+            before = max((e for e, x in owner if x < s), default=0.0)
+            slots[s] = [int(f"{math.ceil(before * n) - 1:0{bits}b}"[::-1], 2)]
+    want = {}
+    for s, r in by.items():
+        stream = sorted((x for x in plan if x["_source"] == s), key=lambda x: (x["_order"] & (1 << 64) - 1, x["_id"]))
+        at = 0
+        while at < r["_quota"]:
+            for x in stream:
+                if x["_size"] and at < r["_quota"]:
+                    words = min(x["_size"], r["_quota"] - at)
+                    rank = at * len(slots[s]) // r["_quota"]
+                    want.setdefault(x["_id"], []).append((rank, slots[s][rank], words))
+                    at += words
+    assert {x["_id"]: [tuple(t) for t in x["_times"]] for x in plan if x["_times"]} == want
+    assert sum(x["_taken"] for x in plan) == sum(r["_quota"] for r in by.values())
+    mixed = M.apply(df, slot_col="slot").collect()
+    assert [r["slot"] for r in mixed] == sorted(r["slot"] for r in mixed)
+    assert sorted((r["doc_id"], r["slot"], n_words(r["text"])) for r in mixed) == sorted((d, s, w) for d, t in want.items() for _, s, w in t)
+
+
 def test_schedule_is_even(spark):
     df = frame(spark, documents(9, 160))
     by = M.targets(M.sizes(df))
