@@ -5,14 +5,21 @@ leftmost gram of least hash inside it, which depends on the string's bytes alone
 trigger are consecutive and make a phrase (the bytes they cover), so a text is a parse of overlapping phrases and
 equal strings lie in phrases of equal trigger, at equal distances from it.
 
-Dictionary: phrases are counted as wholes first. In a phrase that stands twice, every start repeats; a phrase
-whose trigger stands nowhere else has none. Only where different phrases share a trigger are they compared
-further, one copy of each, in blocks of starts and, where these leave it open, start by start: by fingerprints of the
-LENGTH-byte strings, which tell the equal ones as the suffix order of dictionary and parse to that depth would, and
-which can be counted in parts, so that no trigger, however frequent, is brought into one task.
+Dictionary and parse: the distinct phrases, by a 128-bit digest of their bytes, with how often the parse holds each. In a phrase
+that stands twice, every start repeats; a phrase whose trigger stands nowhere else has none. Only where different
+phrases share a trigger is the order within them needed. The dictionary is dealt into partitions by trigger, and in
+each the suffix array of its phrases is built by doubling prefixes: suffixes of LENGTH bytes that are neighbours in that
+order and have the same rank are equal, byte for byte. As phrases overlap by LENGTH - 1 bytes, the parse has to be
+looked up to a depth of one phrase only: corpus order to a depth of LENGTH is that of the dictionary, each phrase as often
+as the parse has it.
+
+A trigger with more than MOST_PHRASES different phrases is too much for one partition. Its phrases are compared in blocks of
+starts and, where these leave it open, start by start, by fingerprints of 64 bits beside the trigger's 64, which can be
+counted in parts, so that no trigger, however frequent, is brought into one task.
 
 Edge cases: a null text is empty. A text shorter than LENGTH has nothing removed. Equal rows repeat each
-other and lose all strings. Fingerprints are of 64 bits beside the trigger's 64.
+other and lose all strings; rows of one id and other texts, and rows without id, count as rows of their own. Columns of the
+input may have any names: only id and text are read, under names of our own. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -32,13 +39,17 @@ LENGTH = 400
 GRAMS = 4
 #: Triggers are sought for so many starts at a time; a text's fingerprints take some 40 bytes a byte meanwhile.
 BLOCK = 1 << 20
-#: Starts of phrases that share a trigger are compared in blocks of so many before they are compared one by one.
+#: Phrases of a partition of the dictionary, about, and the most that share a trigger there.
+MOST_PHRASES = 2000
+#: Starts of phrases that share a more frequent trigger are compared in blocks of so many before they are compared one by one.
 BLOCK_STARTS = 8
 _RNG = np.random.default_rng(20240302)
 _TABLE = _RNG.integers(0, 1 << 63, 256, dtype="u8") * np.uint64(2) + np.uint64(1)
 _BASE = 0x5851F42D4C957F2D
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _POWERS: dict[int, np.ndarray] = {}
+#: Bytes of a phrase's digest.
+DIGEST = 16
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -89,10 +100,10 @@ def triggers(grams: np.ndarray, width: int) -> np.ndarray:
 
 
 def phrases(text: bytes, length: int = LENGTH) -> tuple[np.ndarray, ...]:
-    """first start, last start, trigger hash, phrase fingerprint and the trigger's place in each phrase."""
+    """first start, last start, trigger hash and place of the trigger in each phrase, and the digests of the phrases end to end."""
     raw, gram = np.frombuffer(text, "u1"), max(1, length // GRAMS)
     if len(raw) < length:
-        return tuple(np.zeros(0, "i8") for _ in range(5))
+        return (*(np.zeros(0, "i8") for _ in range(4)), b"")
     hashed = Hashed(raw)
     grams, width = hashed.all(gram), length - gram + 1
     where = np.concatenate([triggers(grams[at : at + BLOCK + width - 1], width) + at for at in range(0, len(raw) - length + 1, BLOCK)])
@@ -100,8 +111,9 @@ def phrases(text: bytes, length: int = LENGTH) -> tuple[np.ndarray, ...]:
     first, last = np.concatenate(([0], cut_)), np.concatenate((cut_ - 1, [len(where) - 1]))
     trigger = where[first]
     # where the trigger stands in the phrase is part of what makes two phrases equal
-    whole = _mix(hashed.of(first, last + length) ^ _mix((last - first).astype("u8") * _M1 + (trigger - first).astype("u8")))
-    return first, last, grams[trigger], whole, trigger - first
+    lead = trigger - first
+    digests = [hashlib.blake2b(text[x:y], digest_size=DIGEST, salt=z.to_bytes(8, "little")).digest() for x, y, z in zip(first.tolist(), (last + length).tolist(), lead.tolist(), strict=True)]
+    return first, last, grams[trigger], lead, b"".join(digests)
 
 
 def _lists(parts: list[np.ndarray], kind: str) -> pa.Array:
@@ -109,23 +121,111 @@ def _lists(parts: list[np.ndarray], kind: str) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends.astype("i4")), pa.array(np.concatenate([np.zeros(0, kind), *[p.view(kind) if p.dtype.itemsize == np.dtype(kind).itemsize else p.astype(kind) for p in parts]])))
 
 
+def _digest_lists(parts: list[bytes]) -> pa.Array:
+    ends = np.cumsum([0, *(len(p) // DIGEST for p in parts)]).astype("i4")
+    values = pa.Array.from_buffers(pa.binary(), int(ends[-1]), [None, pa.py_buffer((np.arange(ends[-1] + 1) * DIGEST).astype("i4")), pa.py_buffer(b"".join(parts))])
+    return pa.ListArray.from_arrays(pa.array(ends), values)
+
+
 def parse(docs: DataFrame, id_col: str, text_col: str, length: int) -> DataFrame:
     """_id, _mark (hash of the text), n_bytes, sha and the phrases of each row."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
                 raw = [(t.as_py() or "").encode() for t in part.column(2)]
                 found = [phrases(b, length) for b in raw]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array([len(b) for b in raw], pa.int64()), pa.array([hashlib.sha256(b).hexdigest() for b in raw], pa.string()), *[_lists([f[k] for f in found], t) for k, t in enumerate(("i4", "i4", "i8", "i8", "i4"))]],
-                    names=["_id", "_mark", "n_bytes", "sha", "first", "last", "trigger", "phrase", "lead"],
+                    [part.column(0), part.column(1), pa.array([len(b) for b in raw], pa.int64()), pa.array([hashlib.sha256(b).hexdigest() for b in raw], pa.string()), *[_lists([f[k] for f in found], t) for k, t in enumerate(("i4", "i4", "i8", "i4"))], _digest_lists([f[4] for f in found])],
+                    names=["_id", "_mark", "n_bytes", "sha", "first", "last", "trigger", "lead", "phrase"],
                 )
 
     rows = docs.select(key_of(docs, id_col).alias("_id"), F.xxhash64(text_col), F.col(text_col))
-    return rows.mapInArrow(run, f"_id {kind}, _mark long, n_bytes long, sha string, first array<int>, last array<int>, trigger array<long>, phrase array<long>, lead array<int>")
+    return rows.mapInArrow(run, f"_id {kind}, _mark long, n_bytes long, sha string, first array<int>, last array<int>, trigger array<long>, lead array<int>, phrase array<binary>")
+
+
+def _ranked(key: np.ndarray) -> np.ndarray:
+    """The rank of each key among the distinct ones."""
+    order = np.argsort(key)
+    at = key[order]
+    out = np.empty(len(key), "u8")
+    out[order] = np.cumsum(np.concatenate(([False], at[1:] != at[:-1])))
+    return out
+
+
+def suffix_ranks(data: np.ndarray, length: int) -> np.ndarray:
+    """The rank of each suffix of data (bytes) in the order of its first `length` bytes: equal ranks, equal bytes. Past the end stand zeros."""
+
+    def after(x: np.ndarray, n: int) -> np.ndarray:
+        return np.concatenate((x[n:], np.zeros(min(n, len(x)), x.dtype)))
+
+    depth, key = min(8, length), np.zeros(len(data), "u8")
+    for k in range(depth):
+        key = (key << np.uint64(8)) | after(data, k).astype("u8")
+    rank = _ranked(key)
+    while depth < length:
+        step = min(depth, length - depth)
+        rank = _ranked((rank << np.uint64(32)) | after(rank, step))
+        depth += step
+    return rank
+
+
+def repeated(phrases_: list[bytes], length: int) -> list[list[tuple[int, int]]]:
+    """For each phrase, the runs (first, last) of starts whose `length` bytes start elsewhere in these phrases too."""
+    sizes = np.array([len(p) for p in phrases_], "i8")
+    ends = np.cumsum(sizes)
+    rank = suffix_ranks(np.frombuffer(b"".join(phrases_), "u1"), length)
+    starts = sizes - length + 1
+    which = np.repeat(np.arange(len(sizes)), starts)
+    inside = np.arange(len(which)) - np.repeat(np.cumsum(starts) - starts, starts)
+    own = rank[(ends - sizes)[which] + inside]
+    order = np.argsort(own)
+    same = own[order][1:] == own[order][:-1]
+    twice = np.zeros(len(own), bool)
+    twice[order[1:][same]] = twice[order[:-1][same]] = True
+    opens = twice & np.concatenate(([True], ~twice[:-1] | (which[1:] != which[:-1])))
+    shuts = twice & np.concatenate((~twice[1:] | (which[1:] != which[:-1]), [True]))
+    out: list[list[tuple[int, int]]] = [[] for _ in phrases_]
+    for k, a, b in zip(which[opens].tolist(), inside[opens].tolist(), inside[shuts].tolist(), strict=True):
+        out[k].append((a, b))
+    return out
+
+
+def _bytes_of(texts: DataFrame, kind: str, length: int) -> DataFrame:
+    """_id, _mark, first, trigger, alone and bytes of each listed phrase."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, cols, pieces, size = [], [[], [], []], [], 0
+            for i in range(batch.num_rows):
+                raw, values = (batch.column(2)[i].as_py() or "").encode(), batch.column(3)[i].values
+                first, last, trigger, alone = (values.field(k).to_numpy(zero_copy_only=False) for k in range(4))
+                at += [i] * len(first)
+                for col, x in zip(cols, (first, trigger, alone), strict=True):
+                    col.append(x)
+                pieces += [raw[a : b + length] for a, b in zip(first.tolist(), last.tolist(), strict=True)]
+                size += len(raw)
+                if size > 4_000_000 or i + 1 == batch.num_rows:
+                    rows = pa.array(at, pa.int64())
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), *[pa.array(np.concatenate(c)) for c in cols], pa.array(pieces, pa.binary())], names=["_id", "_mark", "first", "trigger", "alone", "bytes"])
+                    at, cols, pieces, size = [], [[], [], []], [], 0
+
+    return texts.select("_id", "_mark", "_text", "_phrases").mapInArrow(run, f"_id {kind}, _mark long, first int, trigger long, alone boolean, bytes binary")
+
+
+def _ordered(rows: DataFrame, kind: str, length: int) -> DataFrame:
+    """_id, _mark, first and last of the repeated starts of phrases that stand once; rows are those of _bytes_of() with their part."""
+
+    def run(part: pa.Table) -> pa.Table:
+        found = repeated(part["bytes"].to_pylist(), length)
+        alone, first = part["alone"].to_pylist(), part["first"].to_pylist()
+        each = [(i, first[i] + a, first[i] + b) for i, runs in enumerate(found) if alone[i] for a, b in runs]
+        rows_ = pa.array([e[0] for e in each], pa.int64())
+        return pa.table([part["_id"].take(rows_), part["_mark"].take(rows_), pa.array([e[1] for e in each], pa.int32()), pa.array([e[2] for e in each], pa.int32())], names=["_id", "_mark", "first", "last"])
+
+    return rows.groupBy("part").applyInArrow(run, f"_id {kind}, _mark long, first int, last int")
 
 
 def _blocks(texts: DataFrame, length: int) -> DataFrame:
@@ -212,9 +312,17 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     texts = stored(named.join(ids.hint("shuffle_hash"), ["_id", "_mark"], "left_semi").dropDuplicates(["_id", "_mark"]))
     # phrases as wholes
     dictionary = stored(shared.groupBy("trigger", "phrase").agg(F.count("*").alias("n"), F.min(F.struct("_id", "_mark", "first", "last", "lead")).alias("one")))
-    mixed = stored(dictionary.groupBy("trigger").agg(F.count("*").alias("k")).where("k > 1").select("trigger"))
-    unclear = dictionary.join(mixed, "trigger", "left_semi").select("one.*", "trigger", F.monotonically_increasing_id().alias("uid"), (F.col("n") == 1).alias("alone"))
+    mixed = stored(dictionary.groupBy("trigger").agg(F.count("*").alias("k"), F.min("n").alias("least")).where("k > 1 AND least = 1").select("trigger", "k"))
+    unclear = dictionary.join(mixed, "trigger").select("one.*", "trigger", "k", F.monotonically_increasing_id().alias("uid"), (F.col("n") == 1).alias("alone"))
     unclear = stored(unclear)
+    kind = docs.schema[id_col].dataType.simpleString()
+    # suffix arrays, where a partition of the dictionary can hold the trigger
+    few = unclear.where(F.col("k") <= MOST_PHRASES)
+    parts = max(1, few.count() // MOST_PHRASES)
+    lists = few.groupBy("_id", "_mark").agg(F.collect_list(F.struct("first", "last", "trigger", "alone")).alias("_phrases"))
+    pieces = _bytes_of(texts.join(lists.hint("shuffle_hash"), ["_id", "_mark"]), kind, length)
+    ordered = _ordered(pieces.withColumn("part", F.pmod(F.xxhash64("trigger"), F.lit(parts))), kind, length)
+    unclear = unclear.where(F.col("k") > MOST_PHRASES)
     # blocks: one that stands twice repeats at every start, one whose core stands alone at none
     lists = unclear.groupBy("_id", "_mark").agg(F.collect_list(F.struct("first", "last", "lead", "trigger", "uid", "alone")).alias("_phrases"))
     blocks = stored(_blocks(texts.join(lists.hint("shuffle_hash"), ["_id", "_mark"]), length))
@@ -232,8 +340,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     block = blocks.where("alone").join(kinds.where("n > 1").select("trigger", "core", "whole"), ["trigger", "core", "whole"], "left_semi").select("uid", F.col("at").alias("first"), (F.col("at") + BLOCK_STARTS - 1).alias("last"))
     found = block.unionByName(single).join(phrase, "uid").select("_id", "_mark", "first", "last")
     whole = shared.join(dictionary.where("n > 1").select("trigger", "phrase"), ["trigger", "phrase"], "left_semi").select("_id", "_mark", "first", "last")
-    ranges = whole.unionByName(found).groupBy("_id", "_mark").agg(F.collect_set(F.struct("first", "last")).alias("_ranges"))
-    kind = docs.schema[id_col].dataType.simpleString()
+    ranges = whole.unionByName(found).unionByName(ordered).groupBy("_id", "_mark").agg(F.collect_set(F.struct("first", "last")).alias("_ranges"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -45,6 +45,32 @@ def test_brute_force(spark, seed, alphabet):
     assert result(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 40) == brute(rows, 40)
 
 
+@pytest.mark.parametrize("most", [1, 3])
+def test_frequent_triggers(spark, monkeypatch, most):
+    """The same, where triggers are too frequent for a partition of the dictionary."""
+    monkeypatch.setattr(S, "MOST_PHRASES", most)
+    rows = corpus(5, "abc")
+    assert result(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 40) == brute(rows, 40)
+
+
+@pytest.mark.parametrize("length", [5, 8, 40, 100])
+def test_suffix_order(length):
+    import numpy as np
+
+    rng = random.Random(length)
+    data = bytes(rng.choice(b"ab") for _ in range(300)) + b"abba" * 60
+    rank = S.suffix_ranks(np.frombuffer(data, "u1"), length)
+    cut = [data[i : i + length].ljust(length, b"\0") for i in range(len(data))]
+    order = {c: k for k, c in enumerate(sorted(set(cut)))}
+    assert rank.tolist() == [order[c] for c in cut]
+    pieces = [bytes(rng.choice(b"ab") for _ in range(rng.randint(length, 3 * length))) for _ in range(30)]
+    pieces[3] = pieces[7][1:] + b"ab"
+    seen = [p[a : a + length] for p in pieces for a in range(len(p) - length + 1)]
+    for p, runs in zip(pieces, S.repeated(pieces, length), strict=True):
+        got = {a for x, y in runs for a in range(x, y + 1)}
+        assert got == {a for a in range(len(p) - length + 1) if seen.count(p[a : a + length]) > 1}
+
+
 def test_query_at_its_length(spark, tmp_path):
     rows = [r for r in documents(4, 60) if r[1] is None or len(r[1]) < 20_000]
     got = S.query(spark, write(tmp_path, frame(spark, rows)))
