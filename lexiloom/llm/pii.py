@@ -5,13 +5,18 @@ digits). Candidates for further spans are what the base may miss: letters and di
 digit groups that are no base span, and given names before capitalised words. Labelers vote on each candidate
 (regular expressions on its form, a gazetteer of names, and cues in the words before it): for, against, or
 not at all. Expectation-maximisation over the counts of vote patterns estimates how reliable each labeler is; the
-posteriors train a logistic model over the votes and the kind, and spans that it finds likely enough are added.
-Votes have few patterns (3 to the number of labelers, for each kind), so what the driver collects is bounded
+posteriors are the soft labels from which a logistic model of each kind is trained. It does not see the votes: its features
+are those of the span and of what stands beside it (length, digits, different characters, changes between letters and digits,
+case, cue words, marks before and after), in bins. So it also judges candidates on which few labelers vote, and spans that
+it finds likely enough are added.
+
+Votes and bins have a bounded number of patterns (PATTERNS_AT_MOST for a kind), so what the driver collects is bounded
 whatever the corpus; the counts are of all texts.
 
-Edge cases: a null or empty text has no spans. Rows that repeat are judged each for itself. Patterns do not
-backtrack over runs, so a text of one long run takes linear time. A corpus without candidates leaves
-the priors. Positions are code points, the end exclusive.
+Edge cases: a null or empty text has no spans. Rows that repeat are judged each for itself, and so are rows of one id with
+other texts, and rows without id. Patterns do not backtrack over runs, so a text of one long run takes linear time. A corpus
+without candidates, or an empty table, adds nothing. Columns of the input may have any names: only id and text are read, under
+names of our own. Positions are code points, the end exclusive.
 """
 
 from __future__ import annotations
@@ -34,11 +39,14 @@ PATTERNS = {
 }
 KINDS = tuple(PATTERNS)
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+# fixed values: given names and forms of address
+_NAMES = "James|Mary|John|Robert|Michael|William|David|Maria|Anna|Peter|Paul|Thomas|Pierre|Marie|Jean|Hans|Jose|Carmen|Ahmet|Mehmet|Fatma"
+_TITLES = "Mr|Mrs|Ms|Dr|Herr|Frau|Señor|Señora|Madame|Monsieur|Sayın"
 #: Kinds that the method adds, each with a pattern for its candidates.
 EXTRA = {
     "secret": r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{20,}+(?![A-Za-z0-9_-])",
     "number": r"(?<![0-9A-Za-z.+-])[0-9]{3,4}+[\x20.-][0-9]{2,4}+[\x20.-][0-9]{3,4}+(?![0-9A-Za-z-])(?!\.[0-9])",
-    "name": r"(?<![\p{L}])(?:James|Mary|John|Robert|Michael|William|David|Maria|Anna|Peter|Paul|Thomas|Pierre|Marie|Jean|Hans|Jose|Carmen|Ahmet|Mehmet|Fatma)\x20\p{Lu}[\p{L}-]{1,30}+",
+    "name": rf"(?<![\p{{L}}])(?:(?:{_NAMES})|(?<=\b(?:{_TITLES})\.?\x20)\p{{Lu}}[\p{{L}}-]{{1,30}}+)\x20\p{{Lu}}[\p{{L}}-]{{1,30}}+",
 }
 #: Characters before a candidate that the cue labelers read.
 CONTEXT = 24
@@ -49,9 +57,22 @@ LABELERS = {
     "secret_cue": r"CASE WHEN c RLIKE '(?:token|secret|password|passwd|api.?key|key)[\\x20\'\"]*[=:]' THEN 1 WHEN kind = 'secret' THEN -1 ELSE 0 END",
     "phone_form": r"CASE WHEN kind <> 'number' THEN 0 WHEN s RLIKE '^[0-9]{3}[\\x20.-][0-9]{3}[\\x20.-][0-9]{4}$' THEN 1 ELSE -1 END",
     "phone_cue": r"CASE WHEN kind <> 'number' THEN 0 WHEN c RLIKE '(?:tel|phone|call|fax|mobile|handy|ssn|social)' THEN 1 ELSE -1 END",
-    "gazetteer": r"CASE WHEN kind = 'name' THEN 1 ELSE 0 END",
+    "gazetteer": rf"CASE WHEN kind <> 'name' THEN 0 WHEN s RLIKE '^(?:{_NAMES})\\\\x20' THEN 1 ELSE -1 END",
     "name_cue": r"CASE WHEN kind <> 'name' THEN 0 WHEN c RLIKE '(?:mr|mrs|ms|dr|name|herr|frau|señor|madame|monsieur)[.:]?[\\x20]*$' THEN 1 ELSE -1 END",
 }
+#: Features of a candidate, each a bin from 0, over s, c and a (the character after the span): the expression, the bins, and whether bins are of one scale.
+FEATURES = {
+    "length": ("CASE WHEN length(s) < 12 THEN 0 WHEN length(s) < 24 THEN 1 WHEN length(s) < 32 THEN 2 WHEN length(s) < 64 THEN 3 ELSE 4 END", 5),
+    "digits": ("CAST(least(3, floor(4.0 * regexp_count(s, '[0-9]') / length(s))) AS INT)", 4),
+    "different": ("CAST(least(3, floor(size(array_distinct(split(left(s, 64), ''))) / 5)) AS INT)", 4),
+    "changes": ("CASE WHEN regexp_count(s, '[0-9][A-Za-z]|[A-Za-z][0-9]') = 0 THEN 0 WHEN 8 * regexp_count(s, '[0-9][A-Za-z]|[A-Za-z][0-9]') < length(s) THEN 1 ELSE 2 END", 3),
+    "case": (r"CASE WHEN s RLIKE '\\p{Ll}' AND s RLIKE '\\p{Lu}' THEN 2 WHEN s RLIKE '\\p{Lu}' THEN 1 ELSE 0 END", 3),
+    "cue": ("CAST(c RLIKE '(?:token|secret|passw|key|tel|phone|call|fax|mobile|handy|ssn|social|name|mr|mrs|ms|dr|herr|frau|señor|madame|monsieur)' AS INT)", 2),
+    "before": (r"CASE WHEN c RLIKE '[=:][\\x20\'\"]*$' THEN 2 WHEN c RLIKE '[\'\"(]$' THEN 1 ELSE 0 END", 3),
+    "after": (r"CAST(coalesce(a, '') RLIKE '[\'\",;)]' AS INT)", 2),
+}
+#: The votes' and bins' patterns of a kind: no more than three labelers vote on one, with two values each, beside the bins.
+PATTERNS_AT_MOST = 2**3 * 5 * 4 * 4 * 3 * 3 * 2 * 3 * 2
 THRESHOLD = 0.5
 EM_ROUNDS = 50
 
@@ -119,15 +140,15 @@ def _counter(kind: str):
 
 
 def candidates(found: DataFrame) -> DataFrame:
-    """_key, kind, b, e, s and the votes v_<labeler> of every candidate that overlaps no base span.
+    """_key, kind, b, e, s, the votes v_<labeler> and the bins f_<feature> of every candidate that overlaps no base span.
 
     found has _key, the text and base (all base spans of the row)."""
     each = [_of_kind(k, spans_of(F.col("_text"), p)) for k, p in EXTRA.items()]
     rows = found.select("_key", "_text", "base", F.explode(F.concat(*each)).alias("x"))
     rows = rows.where(~F.exists("base", lambda y: (y["b"] < F.col("x.e")) & (F.col("x.b") < y["e"])))
     start = F.greatest(F.col("x.b") - CONTEXT, F.lit(0))
-    rows = rows.select("_key", "x.*", F.lower(F.col("_text").substr(start + 1, F.col("x.b") - start)).alias("c"))
-    return rows.select("_key", "kind", "b", "e", "s", *[F.expr(v).alias(f"v_{n}") for n, v in LABELERS.items()])
+    rows = rows.select("_key", "x.*", F.lower(F.col("_text").substr(start + 1, F.col("x.b") - start)).alias("c"), F.col("_text").substr(F.col("x.e") + 1, F.lit(1)).alias("a"))
+    return rows.select("_key", "kind", "b", "e", "s", *[F.expr(v).alias(f"v_{n}") for n, v in LABELERS.items()], *[F.expr(v).alias(f"f_{n}") for n, (v, _) in FEATURES.items()])
 
 
 def expectation_maximisation(patterns: list[tuple[tuple[int, ...], int]], prior: float = 0.5, rounds: int = EM_ROUNDS) -> tuple[dict[tuple[int, ...], float], list[tuple[float, float]], float]:
@@ -173,21 +194,42 @@ def logistic(rows: list[tuple[tuple[float, ...], float, float]], rounds: int = 3
     return weights
 
 
-def train(cands: DataFrame) -> dict:
-    """The classifier from all candidates: a weight for each labeler and kind, and a bias."""
-    names = [f"v_{n}" for n in LABELERS]
-    counted = [r.asDict() for r in cands.groupBy("kind", *names).count().collect()]  # one row a vote pattern
-    weights = {"bias": 0.0, **dict.fromkeys(names, 0.0), **{f"k_{k}": 0.0 for k in EXTRA}}
-    rows = []
+def train(cands: DataFrame) -> dict[str, dict]:
+    """The classifier of each kind from all candidates: a weight for each bin of each feature, and a bias."""
+    votes, bins = [f"v_{n}" for n in LABELERS], [f"f_{n}" for n in FEATURES]
+    counted = [r.asDict() for r in cands.groupBy("kind", *votes, *bins).count().collect()]  # one row a pattern
+    places = [(f"f_{n}", k) for n, (_, size) in FEATURES.items() for k in range(size)]
+    out = {}
     for kind in EXTRA:
-        patterns = [(tuple(r[n] for n in names), r["count"]) for r in counted if r["kind"] == kind]
-        if patterns:
-            post, _, _ = expectation_maximisation(sorted(patterns))
-            rows += [((*map(float, v), *(float(k == kind) for k in EXTRA)), post[v], float(n)) for v, n in sorted(patterns)]
-    if rows:
+        patterns: dict[tuple[int, ...], int] = {}
+        shapes: dict[tuple[int, ...], dict[tuple[int, ...], int]] = {}
+        for r in counted:
+            if r["kind"] == kind:
+                v, x = tuple(r[n] for n in votes), tuple(r[n] for n in bins)
+                patterns[v] = patterns.get(v, 0) + r["count"]
+                shapes.setdefault(x, {})
+                shapes[x][v] = shapes[x].get(v, 0) + r["count"]
+        if not patterns:
+            continue
+        post, _, _ = expectation_maximisation(sorted(patterns.items()))
+        rows = []
+        for x, by in sorted(shapes.items()):
+            n = sum(by.values())
+            rows.append((tuple(float(x[bins.index(f)] == k) for f, k in places), sum(c * post[v] for v, c in by.items()) / n, float(n)))
         fitted = logistic(rows)
-        weights = dict(zip([*names, *[f"k_{k}" for k in EXTRA], "bias"], fitted, strict=True))
-    return weights
+        out[kind] = {"bias": fitted[-1], "weights": dict(zip(places, fitted[:-1], strict=True))}
+    return out
+
+
+def _score(model: dict[str, dict]) -> Column:
+    """The likelihood of a candidate by the model of its kind."""
+    z = F.lit(-30.0)
+    for kind, fitted in model.items():
+        own = F.lit(fitted["bias"])
+        for n, (_, size) in FEATURES.items():
+            own = own + F.element_at(F.array(*[F.lit(fitted["weights"][f"f_{n}", k]) for k in range(size)]), F.col(f"f_{n}") + 1)
+        z = F.when(F.col("kind") == kind, own).otherwise(z)
+    return 1 / (1 + F.exp(-z))
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -199,12 +241,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
     spotted = stored(spotted.select(F.struct("_id", "_hash").alias("_key"), "base", F.when(F.size(every) > 0, F.col("_text")).alias("_text")))
     cands = candidates(spotted.where("_text IS NOT NULL"))
     model = train(cands)
-    score = F.lit(model["bias"])
-    for n in LABELERS:
-        score = score + F.col(f"v_{n}") * F.lit(model[f"v_{n}"])
-    for k in EXTRA:
-        score = score + F.when(F.col("kind") == k, F.lit(model[f"k_{k}"])).otherwise(F.lit(0.0))
-    likely = cands.withColumn("score", 1 / (1 + F.exp(-score))).where(F.col("score") >= threshold)
+    likely = cands.withColumn("score", _score(model)).where(F.col("score") >= threshold)
     order = F.array(*[F.lit(k) for k in EXTRA])
     added = likely.groupBy("_key").agg(F.array_sort(F.collect_set(F.struct((F.array_position(order, F.col("kind"))).alias("rank"), "b", "e", "kind", "s", "score"))).alias("added"))
     out = spotted.select("_key", "base").join(added.withColumnRenamed("_key", "_k"), F.col("_key").eqNullSafe(F.col("_k")), "left")
@@ -217,6 +254,7 @@ def _joined(spans: Column) -> Column:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns asked for, and n_spans: base spans and added ones."""
     out = find(read(spark, sf_dir, "documents"))
     counts = [F.aggregate("base", F.lit(0).cast("long"), _counter(k)).alias(f"n_{k}") for k in KINDS]
-    return out.select("doc_id", *counts, F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), F.concat_ws(",", F.nullif(_joined(F.col("base")), F.lit("")), F.nullif(_joined(F.col("added")), F.lit(""))).alias("spans"))
+    return out.select("doc_id", *counts, F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), F.concat_ws(",", F.nullif(_joined(F.col("base")), F.lit("")), F.nullif(_joined(F.col("added")), F.lit(""))).alias("spans"), (F.size("base") + F.size("added")).cast("long").alias("n_spans"))

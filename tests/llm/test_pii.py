@@ -82,6 +82,26 @@ def test_spans_that_the_method_adds(spark):
     assert all(text[d][x["b"] : x["e"]] == x["s"] for d, added in out.items() for x in added)
 
 
+def test_kinds_beyond_the_base(spark):
+    """Precision and recall on planted secrets, numbers and names, among strings that look like them."""
+    rng = random.Random(12)
+    hexa = lambda n: "".join(rng.choices("abcdef0123456789", k=n))
+    letters = lambda n: "".join(rng.choices("abcdefghijklmnop", k=n))
+    rows, want = [], set()
+    for i in range(600):
+        plain = f"{letters(5)} {letters(7)} {letters(3)}. "
+        planted = [f'token = "{hexa(40)}"', f"api_key: {hexa(32)}", f"secret={hexa(20)}{letters(4)}", f"call {rng.randint(200, 999)}-{rng.randint(200, 999)}-{rng.randint(1000, 9999)}", f"phone {rng.randint(200, 999)} {rng.randint(200, 999)} {rng.randint(1000, 9999)}", "Mr. John Willow", "Dr. Anna Meer"][i % 7]
+        decoy = [letters(24), letters(40), f"{letters(12)}-{letters(12)}", f"{rng.randint(1000, 9999)} {rng.randint(10, 99)} {rng.randint(100, 999)}", "On Monday Paris"][i % 5]
+        if i % 2:
+            rows.append((i, plain + planted + " " + plain))
+            want.add(i)
+        else:
+            rows.append((i, plain + decoy + " " + plain))
+    got = {r["doc_id"] for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect() if r["added"]}
+    assert len(got & want) >= 0.95 * len(want)
+    assert len(got & want) >= 0.95 * len(got)
+
+
 def test_estimated_reliabilities():
     rng = random.Random(10)
     truth = [rng.random() < 0.4 for _ in range(4000)]
