@@ -5,7 +5,8 @@ link), or a run of text. A run's block is what stands between two line breaks of
 lie in different nodes are judged apart and joined again.
 
 Tags that are left open end where the next block or the parent's end demands; ends without a start are passed over;
-an unclosed comment, script or style reaches to the end of the page. Depth is bounded by memory alone.
+an unclosed comment, script or style reaches to the end of the page. Depth is bounded by memory alone. Time is linear
+in the page, also where quotes, tags or elements are never closed.
 """
 
 from __future__ import annotations
@@ -13,13 +14,16 @@ from __future__ import annotations
 import html
 import re
 from array import array
+from bisect import bisect_left
 
 import numpy as np
 
 _ATTRIBUTES = r"""(?:[^>"'=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+|["'])*+"""
 #: Elements whose inside is no markup, or never shown.
 _RAW = "script|style|textarea|title|iframe|noembed|noframes|noscript|xmp|template|svg|math|object|select|canvas|video|audio"
-_TOKEN = re.compile(rf"<(?:!--.*?(?:-->|\Z)|(?P<raw>{_RAW})(?=[\s/>]){_ATTRIBUTES}>.*?(?:</(?P=raw)(?=[\s/>])[^>]*+>|\Z)|(?P<tag>/?[A-Za-z][^\s/>]*+{_ATTRIBUTES})>|[!?/][^>]*+>)", re.S | re.I)
+_TOKEN = re.compile(rf"<(?:!--.*?(?:-->|\Z)|(?P<tag>/?[A-Za-z][^\s/>]*+{_ATTRIBUTES})>|[!?/][^>]*+>)", re.S)
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*+>", re.I) for tag in _RAW.split("|")}
+_QUOTED = re.compile(r"""=\s*+(["'])""")
 _NAME = re.compile(r"/?[A-Za-z][^\s/>]*")
 _NAMING = re.compile(r"""\b(class|id|role|aria-label|itemprop|data-label)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _HIDDEN = re.compile(r"""\shidden(?=[\s=>]|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none|visibility\s*:\s*hidden""", re.I)
@@ -57,6 +61,63 @@ _ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd
 _SEEN: dict[str, tuple[str, int, int]] = {}
 
 
+def _closing(page: str):
+    """A function that tells whether a tag that is open at a place is closed: whether a > comes outside the quoted values that begin from there."""
+    ends = [i for i, c in enumerate(page) if c == ">"]
+    quotes = {q: [i for i, c in enumerate(page) if c == q] for q in "\"'"}
+    values = []  # (where a value's = stands, where the value ends)
+    for m in _QUOTED.finditer(page):
+        of = quotes[m[1]]
+        k = bisect_left(of, m.end())
+        if k < len(of):
+            values.append((m.start(), of[k] + 1))
+    starts = [v for v, _ in values]
+    closed = [False] * (len(values) + 1)
+
+    def from_(at: int) -> bool:
+        k, e = bisect_left(starts, at), bisect_left(ends, at)
+        if k == len(starts):
+            return e < len(ends)
+        return e < len(ends) and ends[e] < starts[k] or closed[k]
+
+    for k in range(len(values) - 1, -1, -1):
+        closed[k] = from_(values[k][1])
+    return from_
+
+
+def _tokens(page: str):
+    """(start, end, inside of the tag or None) of comments, raw elements, declarations and tags, in order."""
+    last, at, closed = page.rfind(">"), page.find("<"), None
+    while at >= 0:
+        if at > last:  # no tag closes any more
+            at = page.find("<!--", at)
+            if at >= 0:
+                yield at, len(page), None
+            return
+        open_ = page[at + 1 : at + 3]
+        if closed is not None and open_.lstrip("/")[:1].isalpha() and not closed(at + 1):
+            if open_[0] != "/":
+                at = page.find("<", at + 1)
+                continue
+            end = page.index(">", at) + 1  # an end tag is passed over as far as the next >
+            yield at, end, None
+            at = page.find("<", end)
+            continue
+        m = _TOKEN.match(page, at)
+        if m is None:
+            if closed is None:
+                closed = _closing(page)
+            at = page.find("<", at + 1)
+            continue
+        inside, end = m["tag"], m.end()
+        shut = inside and _RAW_END.get(_NAME.match(inside)[0].lower())
+        if shut:  # an element whose inside is no markup, to its end or that of the page
+            inside, found = None, shut.search(page, end, last + 1)
+            end = found.end() if found else len(page)
+        yield at, end, inside
+        at = page.find("<", end)
+
+
 def _tag(raw: str) -> tuple[str, int, int]:
     """Name (with its slash), hints, and 1 or 2 for a label of 0 or 1, of the inside of a tag."""
     found = _SEEN.get(raw)
@@ -103,7 +164,7 @@ class Trees:
         page = page or ""
         root = self._node(-1, 0, 0, 0)
         names, nodes = ["#root"], [root]  # the open elements, and the node that text in each belongs to
-        open_p = 0
+        opened: dict[str, int] = {}  # how many elements of each name are open
         links, block = 0, 0
         leaf, parts, leaf_of = -1, [], -1
 
@@ -128,14 +189,16 @@ class Trees:
                 self.link[leaf] += len(raw)
 
         def pop_to(k: int) -> None:
-            nonlocal links, open_p
+            nonlocal links
             for name in names[k:]:
                 links -= name == "a"
-                open_p -= name == "p"
+                opened[name] -= 1
             del names[k:], nodes[k:]
 
         def implied(kinds, stops) -> None:
             """Ends the innermost element of these kinds if it stands above the stops."""
+            if not any(opened.get(x) for x in kinds):
+                return
             for k in range(len(names) - 1, 0, -1):
                 if names[k] in kinds:
                     pop_to(k)
@@ -146,18 +209,18 @@ class Trees:
                     return
 
         at = 0
-        for m in _TOKEN.finditer(page):
-            start = m.start()
+        for start, end, raw in _tokens(page):
             if start > at:
                 text(page[at:start])
-            at = m.end()
-            raw = m["tag"]
+            at = end
             if raw is None:
                 continue
             name, hints, label = _tag(raw)
             if name[0] == "/":
                 name = name[1:]
                 if name in INLINE:
+                    if not opened.get(name):
+                        continue
                     # an inline end is heeded inside its own block only
                     for k in range(len(names) - 1, 0, -1):
                         if names[k] == name:
@@ -168,7 +231,7 @@ class Trees:
                     continue
                 close()
                 block += 1
-                if name in names:
+                if opened.get(name):
                     k = len(names) - 1
                     while names[k] != name:
                         k -= 1
@@ -182,22 +245,23 @@ class Trees:
                     if name == "a" and links:  # a link ends the one before
                         implied({"a"}, ())
                     names.append(name)
+                    opened[name] = opened.get(name, 0) + 1
                     links += name == "a"
                     nodes.append(self._node(nodes[-1], GROUP.get(name, 0), hints, label) if hints & ~_GOOD or label or name == "button" or name == "label" else nodes[-1])
                 continue
             close()
             block += 1
             if name in ("html", "body"):  # once each; the root stands in for what is missing
-                if name in names:
+                if opened.get(name):
                     continue
-            if open_p and name in _CLOSES_P:
+            if opened.get("p") and name in _CLOSES_P:
                 implied({"p"}, {"button", "table", "td", "th", "object"})
             elif name in _ENDS:
                 implied(*_ENDS[name])
             if name in VOID:
                 continue
             names.append(name)
-            open_p += name == "p"
+            opened[name] = opened.get(name, 0) + 1
             nodes.append(self._node(nodes[-1], GROUP.get(name, 0), hints, label))
         if at < len(page):
             rest = page[at:]

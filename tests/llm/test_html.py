@@ -91,3 +91,17 @@ def test_query_on_awkward_rows(spark, tmp_path):
     assert len(out) == len(rows) and [x[1] for x in out if x[0] == 1] == [TEXT, TEXT]
     assert all(len(t) == n for _, t, n in out) and out[0][1] == "" and (2, "", 0) in out and (3, "", 0) in out
     assert X.extract(df.limit(0), ["page_id"]).count() == 0
+
+
+def test_time_is_linear_in_hostile_pages():
+    import time
+
+    from lexiloom.llm.html_tree import Trees
+
+    makers = [lambda n: '<a b="' * n, lambda n: '<a b="' * n + ">", lambda n: "<a b='>\" c=" * n, lambda n: "<!x " * n, lambda n: "<script>" + "</script " * n, lambda n: "<div>" * n + "</p>" * n, lambda n: "<b>" * n + "</i>" * n]
+    for make in makers:
+        page = make(1)
+        page = make(1_000_000 // len(page))
+        began = time.process_time()
+        Trees().add(page)
+        assert time.process_time() - began < 20, page[:40]
