@@ -2,7 +2,8 @@
 
 A text is compressed in windows, all of it, with a dictionary of good text, with one of bad text and with none.
 The difference of the sizes under bad and good, over the size without, is large where the text is like good
-text. A logistic calibration turns that, and the ratio of each size to the length, into a score.
+text. A logistic calibration turns that, and the ratios of the sizes to each other and to the length, into a score; length
+itself is no feature.
 
 Scores suit the fitted sample, in which both labels have up to PER_LABEL rows, not the share of labels in the corpus.
 The dictionaries and the calibration are fitted on a sample of labelled rows bounded by PER_LABEL (documents of
@@ -12,7 +13,8 @@ that the dictionaries have not. Scores are of whole texts.
 
 Edge cases: a null or empty text gets the score of the labelled share alone, by the calibration's prior. Without
 labels of both kinds every score is the share of label 1 (or 0.5 with no labels). Equal texts get equal scores.
-Labels are read by id; an id with several labels counts once, as its greatest.
+Labels are read by id; an id with several labels counts once, as its greatest. Labels whose texts are all blank count as none
+but for the share. Columns of the input may have any names: only id, text and the labels are read. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -80,7 +82,7 @@ def features(text: str | None, sizes) -> np.ndarray | None:
         total += sizes(data[at : at + WINDOW])
     none, good, bad = total
     n = len(data)
-    return np.array([(bad - good) / none, (none - good) / none, (none - bad) / none, none / (n + 20), np.log2(n), (bad - good) / (n + 20)])
+    return np.array([(bad - good) / none, (none - good) / none, (none - bad) / none, none / (n + 20), (bad - good) / (n + 20)])
 
 
 def fit(rows: list[tuple[str, int, int]], seed: int = 5) -> Model:
@@ -88,6 +90,7 @@ def fit(rows: list[tuple[str, int, int]], seed: int = 5) -> Model:
     labels = [y for _, y, _ in rows]
     prior = (sum(labels) / len(labels)) if labels else 0.5
     empty = np.zeros(0)
+    rows = [(t, y, h) for t, y, h in rows if t.encode().strip()]  # blank texts teach the prior alone
     parts = {y: [t.encode() for t, label, h in rows if label == y and h & 1] for y in (0, 1)}
     rest = [(t, y) for t, y, h in rows if not h & 1]
     if min(len(parts[0]), len(parts[1])) < 8 or len({y for _, y in rest}) < 2:

@@ -57,6 +57,33 @@ def test_whole_texts_count():
     assert C.features(None, sizes) is None and C.features(" \n", sizes) is None
 
 
+def test_labelled_texts_all_blank(spark):
+    docs = frame(spark, [(i, [None, "", " \n"][i % 3], "en", "s", 1) for i in range(60)])
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(60)], "doc_id long, quality int")
+    rows = C.sample(docs, labels)
+    model = C.fit(rows)
+    assert {r["score"] for r in C.score(docs, model).collect()} == {sum(y for _, y, _ in rows) / len(rows)}
+
+
+def test_score_from_sizes_alone():
+    """The score again, from compressed sizes taken one by one and the calibration's formula."""
+    import math
+
+    import zstandard
+
+    model = C.fit([(t, y, d) for d, t, y in labelled(3, 400)])
+    for text in ("ala bor cen. dug efi " * 30, "x" * 9000, "buy !! | abc0 " * 700):
+        data, sizes = text.encode(), [0, 0, 0]
+        for at in range(0, len(data), 4096):
+            for k, raw in enumerate((None, model.good, model.bad)):
+                args = {} if raw is None else {"dict_data": zstandard.ZstdCompressionDict(raw)}
+                sizes[k] += len(zstandard.ZstdCompressor(level=3, write_content_size=False, **({"write_dict_id": False} if args else {}), **args).compress(data[at : at + 4096]))
+        none, good, bad = sizes
+        x = [(bad - good) / none, (none - good) / none, (none - bad) / none, none / (len(data) + 20), (bad - good) / (len(data) + 20)]
+        z = model.weights[-1] + sum(w * (v - m) / s for w, v, m, s in zip(model.weights, x, model.mean, model.scale, strict=False))
+        assert abs(model.scores([text])[0] - 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))) < 1e-6
+
+
 def test_fitted_on_whole_texts(spark):
     rows = [(i, "plain words " * 900 + f"end {i}", "en", "s", 1) for i in range(20)]
     labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int")
