@@ -40,7 +40,7 @@ GRAMS = 4
 #: Triggers are sought for so many starts at a time; a text's fingerprints take some 40 bytes a byte meanwhile.
 BLOCK = 1 << 20
 #: Phrases of a partition of the dictionary, about, and the most that share a trigger there.
-MOST_PHRASES = 2000
+PART_PHRASES, MOST_PHRASES = 250, 2000
 #: Starts of phrases that share a more frequent trigger are compared in blocks of so many before they are compared one by one.
 BLOCK_STARTS = 8
 _RNG = np.random.default_rng(20240302)
@@ -318,7 +318,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     kind = docs.schema[id_col].dataType.simpleString()
     # suffix arrays, where a partition of the dictionary can hold the trigger
     few = unclear.where(F.col("k") <= MOST_PHRASES)
-    parts = max(1, few.count() // MOST_PHRASES)
+    parts = max(1, few.count() // PART_PHRASES)
     lists = few.groupBy("_id", "_mark").agg(F.collect_list(F.struct("first", "last", "trigger", "alone")).alias("_phrases"))
     pieces = _bytes_of(texts.join(lists.hint("shuffle_hash"), ["_id", "_mark"]), kind, length)
     ordered = _ordered(pieces.withColumn("part", F.pmod(F.xxhash64("trigger"), F.lit(parts))), kind, length)
