@@ -7,8 +7,10 @@ that table, and learn() refuses one beyond MOST_WORDS and says which cut would f
 
 from __future__ import annotations
 
+import functools
 import heapq
 import json
+import unicodedata
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -79,6 +81,18 @@ def merges_of(words: Iterable[tuple[str, int]], n_merges: int) -> list[tuple[str
     return out
 
 
+@functools.cache
+def folding(turkish: bool = False) -> list[dict]:
+    """NFKC and case folding as steps that the tokenizers library knows: lowering, and a replacement for each lowered character that
+    folds to something else (ß, final sigma, ...)."""
+    steps: list[dict] = [{"type": "NFKC"}]
+    replace = lambda x, y: {"type": "Replace", "pattern": {"String": x}, "content": y}
+    if turkish:
+        steps += [replace(x, y) for x, y in (("I", "ı"), ("İ", "i"))]
+    lowered = sorted({y for c in range(0x110000) if not 0xD800 <= c < 0xE000 for y in chr(c).lower() if y.casefold() != y})
+    return [*steps, {"type": "Lowercase"}, *[replace(c, c.casefold()) for c in lowered if unicodedata.is_normalized("NFKC", c)]]
+
+
 @dataclass
 class Vocabulary:
     """Tokens by id and the merges by rank. Id 0 is the unknown token; named special tokens follow it, then characters, then merges."""
@@ -86,20 +100,24 @@ class Vocabulary:
     tokens: list[str]
     merges: list[tuple[str, str]]
     special: list[str] = field(default_factory=list)
+    turkish: bool = False
 
-    def json(self) -> str:
-        """One document in the layout of the tokenizers library, which can load it."""
+    def json(self, normalizer: bool = True) -> str:
+        """One document in the layout of the tokenizers library, which can load it, and then gives the ids of encode() for raw
+        texts: its normalizer folds as normalize_text() does. Without it, texts have to be normalized already."""
         added = [{"id": i, "content": t, "single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": True} for i, t in enumerate(self.tokens[: 1 + len(self.special)])]
         model = {"type": "BPE", "dropout": None, "unk_token": UNKNOWN, "continuing_subword_prefix": None, "end_of_word_suffix": None, "fuse_unk": False, "byte_fallback": False, "ignore_merges": False}
         model |= {"vocab": {t: i for i, t in enumerate(self.tokens)}, "merges": [list(m) for m in self.merges]}
-        return json.dumps({"version": "1.0", "truncation": None, "padding": None, "added_tokens": added, "normalizer": {"type": "NFKC"}, "pre_tokenizer": {"type": "WhitespaceSplit"}, "post_processor": None, "decoder": None, "model": model}, ensure_ascii=False)
+        return json.dumps({"version": "1.0", "truncation": None, "padding": None, "added_tokens": added, "normalizer": {"type": "Sequence", "normalizers": folding(self.turkish)} if normalizer else None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "post_processor": None, "decoder": None, "model": model}, ensure_ascii=False)
 
     @staticmethod
     def of_json(text: str) -> Vocabulary:
         spec = json.loads(text)
         vocab = spec["model"]["vocab"]
         special = [a["content"] for a in sorted(spec["added_tokens"], key=lambda a: a["id"]) if a["content"] != UNKNOWN]
-        return Vocabulary(sorted(vocab, key=vocab.__getitem__), [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in spec["model"]["merges"]], special)
+        steps = (spec.get("normalizer") or {}).get("normalizers", [])
+        turkish = any(x.get("pattern") == {"String": "İ"} and x.get("content") == "i" for x in steps)
+        return Vocabulary(sorted(vocab, key=vocab.__getitem__), [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in spec["model"]["merges"]], special, turkish)
 
     def tables(self, spark: SparkSession) -> tuple[DataFrame, DataFrame]:
         """vocab (id, token) and merges (rank, left, right)."""
@@ -149,14 +167,14 @@ def learn(docs: DataFrame, vocab_size: int = VOCAB_SIZE, min_frequency: int = 1,
         if left + right not in known:  # two merges may make one token
             known.add(left + right)
             tokens.append(left + right)
-    return Vocabulary(tokens, merges, list(special))
+    return Vocabulary(tokens, merges, list(special), turkish)
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", out: str = "tokens", separator: int | None = None, normalized: bool = False, turkish: bool = False) -> DataFrame:
     """docs with `out`, the ids of the text, and `separator` after them if given. A null text has no ids of its own.
 
-    The vocabulary goes to each worker once; batches are encoded by the tokenizers library."""
-    spec = docs.sparkSession.sparkContext.broadcast(vocabulary.json())  # bounded by the size of the vocabulary
+    A vocabulary learned with `turkish` is applied so. It goes to each worker once; batches are encoded by the tokenizers library."""
+    spec, turkish = docs.sparkSession.sparkContext.broadcast(vocabulary.json(normalizer=False)), turkish or vocabulary.turkish  # bounded by the size of the vocabulary
     cols = [c for c in docs.columns if c != out]
     k = cols.index(text_col)
     end = [] if separator is None else [separator]

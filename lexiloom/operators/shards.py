@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lexiloom.functions.text import n_bytes
 from lexiloom.operators.streams import pieces, running_total
+from lexiloom.sources.documents import END_OF_DOCUMENT
 
 MB = 1 << 20
 SHARD_BYTES = 256 * MB
@@ -69,10 +70,12 @@ def assign_shards(docs: DataFrame, limit: int = SHARD_BYTES, id_col: str = "doc_
 
 
 def write_text_shards(docs: DataFrame, path: str, limit: int = SHARD_BYTES, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Writes `path`/shard=N/*.txt, one file a shard, a row a text and its line end. Rows without text are left out."""
-    rows = assign_shards(docs.where(F.col(text_col).isNotNull()), limit, id_col, text_col)
+    """Writes `path`/shard=N/*.txt, one file a shard, a record a text: the text and END_OF_DOCUMENT, so that texts of several lines
+    stay apart. Rows without text are left out; END_OF_DOCUMENT inside a text becomes a line end."""
+    rows = docs.where(F.col(text_col).isNotNull()).withColumn(text_col, F.replace(F.col(text_col), F.lit(END_OF_DOCUMENT), F.lit("\n")))
+    rows = assign_shards(rows, limit, id_col, text_col, overhead=len(END_OF_DOCUMENT))
     rows = rows.repartition("shard").sortWithinPartitions("shard", "_start")
-    rows.select("shard", F.col(text_col).alias("value")).write.partitionBy("shard").mode("overwrite").text(path)
+    rows.select("shard", F.col(text_col).alias("value")).write.partitionBy("shard").mode("overwrite").option("lineSep", END_OF_DOCUMENT).text(path)
 
 
 def stream_shards(docs: DataFrame, limit: int, id_col: str = "doc_id", length=lambda text: n_bytes(text), text_col: str = "text") -> DataFrame:

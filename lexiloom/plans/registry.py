@@ -17,13 +17,14 @@ from pyspark.sql import functions as F
 from lexiloom.functions.text import html_text, n_bytes, normalize, strip_tags, words
 from lexiloom.operators import bpe
 from lexiloom.operators.frequencies import alphabet_counts, pair_counts, word_counts
-from lexiloom.operators.shards import assign_shards, chunk_of_start, split_texts, stream_shards
+from lexiloom.operators.shards import assign_shards, chunk_of_start, split_texts, stream_shards, write_text_shards
 from lexiloom.operators.windows import chunked, next_token_windows, stream_of_chunks
 from lexiloom.session import scratch, ship, table
-from lexiloom.sources.documents import epub_text, of_language, texts_of
+from lexiloom.plans.prepare import TOKENIZER
+from lexiloom.sources.documents import epub_text, of_language, read_crawl, read_documents, texts_of
 from lexiloom.sources.tokens import read_tokens, stream_of, write_tokens
 
-LANG, MIN_FREQUENCY, VOCAB = "de", 20, 2000
+LANG, MIN_FREQUENCY, VOCAB, CAPPED = "de", 20, 2000, 24
 CHUNK_BYTES, SHARD_BYTES, PART_BYTES = 65_536, 1 << 20, 4096
 BIN_BYTES, CHUNK_TOKENS, CONTEXT = 1 << 20, 50_000, 64
 
@@ -132,6 +133,38 @@ def decode_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.decode(rows.drop("text"), vocabulary).select("doc_id", "text")
 
 
+def _capped(spark: SparkSession, sf_dir: str) -> bpe.Vocabulary:
+    """A vocabulary with room for CAPPED tokens, saved and loaded again: the most frequent characters, no merges."""
+    path = f"{scratch(spark, 'vocabulary')}/{TOKENIZER}"
+    bpe.learn(_docs(spark, sf_dir), CAPPED, 1).save(spark, path)
+    return bpe.Vocabulary.load(spark, path)
+
+
+def capped_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _capped(spark, sf_dir).tables(spark)[0]
+
+
+def capped_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids of each text by a capped vocabulary; characters without room are unknown."""
+    rows = bpe.encode(_docs(spark, sf_dir).select("doc_id", "text"), _capped(spark, sf_dir))
+    ids = F.array_join(F.transform("tokens", lambda x: x.cast("string")), ",")
+    return rows.select("doc_id", F.size("tokens").cast("long").alias("n_tokens"), F.md5(ids).alias("ids"))
+
+
+def text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts written as text shards and read again as documents."""
+    path = scratch(spark, "texts")
+    write_text_shards(_docs(spark, sf_dir), path, SHARD_BYTES)
+    return read_documents(spark, path).groupBy(F.md5("text").alias("text")).agg(F.count("*").alias("n"))
+
+
+def crawl_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written as crawl records and read again."""
+    path = scratch(spark, "crawl")
+    _docs(spark, sf_dir).select("text", F.col("lang").alias("timestamp"), F.col("source").alias("url")).write.option("compression", "gzip").json(path)
+    return read_crawl(spark, path).select("url", "timestamp", "text")
+
+
 def _code_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream whose tokens are the texts' code points, which SQL can make too."""
     docs = _docs(spark, sf_dir).where("text <> ''")
@@ -214,6 +247,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "encode_tokens": encode_tokens,
     "token_counts": token_counts,
     "decode_words": decode_words,
+    "capped_vocab": capped_vocab,
+    "capped_ids": capped_ids,
+    "text_roundtrip": text_roundtrip,
+    "crawl_records": crawl_records,
     "bin_roundtrip": bin_roundtrip,
     "stream_chunks": stream_chunks,
     "seq_windows": seq_windows,
@@ -228,6 +265,9 @@ _WORDS = rf"""{_NORM}, words AS (SELECT word, count(*)::BIGINT AS n FROM (SELECT
 _ALL = _WORDS.format("")
 _PAIRS = f"""{_ALL}, pairs AS (SELECT word[i] AS "left", word[i + 1] AS "right", sum(n)::BIGINT AS n
     FROM (SELECT word, n, unnest(range(1, length(word))) AS i FROM words) GROUP BY 1, 2)"""
+_CAPPED = f"""{_ALL}, symbols AS (SELECT word[i] AS symbol, sum(n) AS n FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words) GROUP BY 1),
+    vocab AS (SELECT row_number() OVER (ORDER BY symbol)::INTEGER AS id, symbol AS token FROM (SELECT symbol FROM symbols ORDER BY n DESC, symbol LIMIT {CAPPED - 1})
+    UNION ALL SELECT 0, '{bpe.UNKNOWN}')"""
 _STREAM = """stream AS (SELECT doc_id, text, (sum(length(text)) OVER (ORDER BY doc_id) - length(text))::BIGINT AS start FROM documents WHERE text <> ''),
     chars AS (SELECT start + i - 1 AS pos, unicode(text[i]) AS c FROM (SELECT text, start, unnest(range(1, length(text) + 1)) AS i FROM stream))"""
 _LAID = """laid AS (SELECT doc_id, bytes, (sum(bytes) OVER (ORDER BY doc_id) - bytes)::BIGINT AS start FROM (SELECT doc_id, coalesce(octet_length(encode(text)), 0)::BIGINT AS bytes FROM documents))"""
@@ -258,6 +298,20 @@ ORACLES: dict[str, str] = {
     "bpe_pair_counts": f'WITH {_PAIRS} SELECT "left", "right", n FROM pairs',
     "bpe_first_merge": f'WITH {_PAIRS} SELECT "left", "right", n FROM pairs ORDER BY n DESC, "left", "right" LIMIT 1',
     "decode_words": rf"WITH {_NORM} SELECT doc_id, regexp_replace(text, '[ \t\n\v\f\r]+', '', 'g') AS text FROM norm",
+    "capped_vocab": f"WITH {_CAPPED} SELECT id, token FROM vocab",
+    "capped_ids": rf"""WITH {_CAPPED}, chars AS (SELECT doc_id, string_split(regexp_replace(text, '[ \t\n\v\f\r]+', '', 'g'), '') AS c FROM norm),
+        each AS (SELECT doc_id, unnest(c) AS token, generate_subscripts(c, 1) AS i FROM chars),
+        ids AS (SELECT doc_id, count(*)::BIGINT AS n, md5(string_agg(coalesce(id, 0)::VARCHAR, ',' ORDER BY i)) AS ids FROM each LEFT JOIN vocab USING (token) WHERE token <> '' GROUP BY 1)
+        SELECT doc_id, coalesce(n, 0)::BIGINT AS n_tokens, coalesce(ids, md5('')) AS ids FROM documents LEFT JOIN ids USING (doc_id)""",
+    "text_roundtrip": "SELECT md5(text) AS text, count(*)::BIGINT AS n FROM documents WHERE text IS NOT NULL GROUP BY 1",
+    "crawl_records": "SELECT source AS url, lang AS timestamp, text FROM documents",
+    "text_parts": f"""WITH RECURSIVE ch AS (SELECT doc_id, unnest(string_split(text, '')) AS c, generate_subscripts(string_split(text, ''), 1) AS i FROM documents WHERE octet_length(encode(text)) > {PART_BYTES}),
+        cum AS (SELECT doc_id, i, c, sum(octet_length(encode(c))) OVER (PARTITION BY doc_id ORDER BY i)::BIGINT AS b FROM ch),
+        l AS (SELECT doc_id, list(b ORDER BY i) AS bs, list(b ORDER BY i) FILTER (c = chr(10)) AS nl, max(b) AS total FROM cum GROUP BY 1),
+        cut AS (SELECT doc_id, 0 AS part, 0::BIGINT AS lo, CASE WHEN total <= {PART_BYTES} THEN total ELSE coalesce(list_max(list_filter(nl, lambda x: x <= {PART_BYTES})), list_max(list_filter(bs, lambda x: x <= {PART_BYTES}))) END AS hi, bs, nl, total FROM l
+            UNION ALL SELECT doc_id, part + 1, hi, CASE WHEN total - hi <= {PART_BYTES} THEN total ELSE coalesce(list_max(list_filter(nl, lambda x: x > hi AND x - hi <= {PART_BYTES})), list_max(list_filter(bs, lambda x: x - hi <= {PART_BYTES}))) END, bs, nl, total FROM cut WHERE hi < total)
+        SELECT doc_id, part::INTEGER AS part, (hi - lo)::BIGINT AS bytes, md5(substring(text, (len(list_filter(bs, lambda x: x <= lo)) + 1)::BIGINT, (len(list_filter(bs, lambda x: x > lo AND x <= hi)))::BIGINT)) AS md5 FROM cut JOIN documents USING (doc_id)
+        UNION ALL SELECT doc_id, 0::INTEGER, coalesce(octet_length(encode(text)), 0)::BIGINT, md5(text) FROM documents WHERE text IS NULL OR octet_length(encode(text)) <= {PART_BYTES}""",
     "bin_roundtrip": f"""WITH {_STREAM}, placed AS (SELECT pos // {BIN_BYTES // 2} AS shard, pos % {BIN_BYTES // 2} AS place, c FROM chars)
         SELECT (shard + 1)::INTEGER AS shard, (place // {CHUNK_TOKENS})::BIGINT AS chunk, count(*)::BIGINT AS n_tokens, arg_min(c, place)::INTEGER AS first_token, sum(c)::BIGINT AS sum_tokens
         FROM placed GROUP BY 1, 2""",

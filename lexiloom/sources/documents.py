@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from lexiloom.functions.text import markup_text
 from lexiloom.sources.pdf import pdf_text
 
+#: What follows each document in a text shard: a record separator and a line end.
+END_OF_DOCUMENT = "\x1e\n"
 #: Fields of a crawl record.
 CRAWL = "text string, timestamp string, url string"
 
@@ -26,6 +28,13 @@ def read_text(spark: SparkSession, path: str, whole: bool = True, suffix: str =
     return reader.text(path, wholetext=whole).select(F.input_file_name().alias("path"), F.col("value").alias("text"))
 
 
+def read_documents(spark: SparkSession, path: str, suffix: str = ".txt") -> DataFrame:
+    """path and text of the documents in the text shards under a folder: what END_OF_DOCUMENT parts. Shards are read in splits, and a
+    row is a document, however large its shard. A file without END_OF_DOCUMENT, as others write them, is one document."""
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}").option("lineSep", END_OF_DOCUMENT)
+    return reader.text(path).select(F.input_file_name().alias("path"), F.col("value").alias("text"))
+
+
 def of_language(docs: DataFrame, lang: str, column: str = "lang") -> DataFrame:
     """Rows of one language by its column: a filter that reaches the scan."""
     return docs.where(F.col(column) == lang)

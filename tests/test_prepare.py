@@ -36,6 +36,55 @@ def test_from_raw_files_to_token_shards(spark, tmp_path):
     assert library.get_vocab_size() == len(v.tokens)
 
 
+def test_a_separator_for_each_document(spark, tmp_path):
+    from lexiloom.operators.shards import write_text_shards
+    from lexiloom.sources.documents import read_documents
+
+    texts = ["first line\nsecond line\n\nlast", "another document", "", "with a\x1e mark"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    write_text_shards(rows, str(tmp_path / "texts"))
+    assert len(list((tmp_path / "texts").rglob("*.txt"))) == 1
+    assert sorted(r["text"] for r in read_documents(spark, str(tmp_path / "texts")).collect()) == sorted(texts)
+    v = prepare.build_tokenizer(spark, str(tmp_path / "texts"), str(tmp_path / "out"), 60)
+    prepare.tokenize(spark, str(tmp_path / "texts"), str(tmp_path / "bin"), str(tmp_path / "out" / prepare.TOKENIZER), separator=0)
+    ids = np.fromfile(tmp_path / "bin" / "veriseti0001.bin", "<u2").tolist()
+    assert ids.count(0) == len(texts) and len(v.tokens) > 5
+
+
+def test_a_large_shard_is_read_in_documents(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from lexiloom.operators.shards import write_text_shards
+    from lexiloom.sources.documents import read_documents
+
+    rows = spark.range(3000).select(F.col("id").alias("doc_id"), F.repeat(F.concat(F.lit("line "), F.col("id").cast("string"), F.lit("\n")), 1000).alias("text"))
+    write_text_shards(rows, str(tmp_path / "texts"))
+    assert [f.stat().st_size > 20 << 20 for f in (tmp_path / "texts").rglob("*.txt")] == [True]
+    read = read_documents(spark, str(tmp_path / "texts"))
+    assert read.count() == 3000 and read.agg(F.max(F.length("text"))).first()[0] == 10_000
+    assert read.exceptAll(read.join(rows, "text", "left_semi").select("path", "text")).count() == 0
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")
+    try:
+        again = read_documents(spark, str(tmp_path / "texts"))
+        assert again.rdd.getNumPartitions() > 4 and again.count() == 3000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+@pytest.mark.parametrize("turkish", [False, True])
+def test_the_library_gives_the_same_ids(spark, tmp_path, turkish):
+    texts = ["AB ab Ab", "IŞIK ışık İSTANBUL istanbul Iğdır", "STRASSE Straße ẞ", "ΣΊΣΥΦΟΣ σίσυφος ς", "ﬁne Ⅷ ①②", "ÀÉÎ àéî", "Ꭰꭰ ŉ ǰ"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    v = bpe.learn(docs, 90, 1, turkish=turkish)
+    v.save(spark, str(tmp_path / "v.json"))
+    library, loaded = Tokenizer.from_file(str(tmp_path / "v.json")), bpe.Vocabulary.load(spark, str(tmp_path / "v.json"))
+    assert loaded == v
+    ours = {r["doc_id"]: r["tokens"] for r in bpe.encode(docs, loaded).collect()}
+    for i, text in enumerate(texts):
+        assert library.encode(text, add_special_tokens=False).ids == ours[i], text
+        assert 0 not in ours[i]
+
+
 def test_what_is_refused(spark, tmp_path):
     with pytest.raises(ValueError, match="language"):
         prepare.to_text(spark, "crawl", str(tmp_path), str(tmp_path / "o"))
