@@ -281,3 +281,15 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = classes(read(spark, sf_dir, "documents"))
     return out.select(F.col("_id").alias("doc_id"), "n_shingles", "component_id", F.col("_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+#: The query by brute force: all pairs that share a shingle, counted, and what is reachable from each document.
+ORACLE = r"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+    s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 2), ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+    n AS (SELECT doc_id, count(*)::BIGINT AS n FROM s GROUP BY 1),
+    c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+    e AS (SELECT x, y FROM c JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * k >= 85 * (p.n + q.n - k)),
+    two AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
+    r AS (SELECT doc_id AS d, doc_id AS m FROM documents UNION SELECT two.y, r.m FROM r JOIN two ON two.x = r.d),
+    least AS (SELECT d, min(m) AS m FROM r GROUP BY 1)
+    SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, m AS component_id, d.doc_id = m AS kept FROM documents d JOIN least ON least.d = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id"""

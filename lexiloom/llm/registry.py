@@ -16,4 +16,4 @@ QUERIES = {
     "op9_source_mixing": mixing.query,
     "op10_quality_rules": quality_rules.query,
 }
-ORACLES = {"op10_quality_rules": quality_rules.ORACLE}
+ORACLES = {"op2_suffix_dedup": substring_dedup.ORACLE, "op3_minhash_near_dups": near_dups.ORACLE, "op10_quality_rules": quality_rules.ORACLE}

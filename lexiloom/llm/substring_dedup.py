@@ -361,3 +361,19 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup(read(spark, sf_dir, "documents")).drop("kept").withColumnRenamed("_id", "doc_id")
+
+
+#: The query by brute force: every string of LENGTH bytes, in hexadecimal, counted by its md5. Texts are cut in overlapping
+#: stretches first, so that taking a string is cheap.
+ORACLE = f"""WITH h AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, octet_length(encode(coalesce(text, '')))::BIGINT AS n FROM documents),
+    stretch AS (SELECT doc_id, n, k * 1000 AS base, substring(x, 2 * k * 1000 + 1, 2 * (999 + {LENGTH})) AS y FROM (SELECT *, unnest(range(0, n // 1000 + 1)) AS k FROM h)),
+    starts AS (SELECT doc_id, base + i AS a, md5(substring(y, 2 * i + 1, {2 * LENGTH})) AS g FROM (SELECT *, unnest(range(0, least(1000, n - {LENGTH - 1} - base))) AS i FROM stretch WHERE n - {LENGTH - 1} > base)),
+    hit AS (SELECT doc_id, a FROM starts WHERE g IN (SELECT g FROM starts GROUP BY g HAVING count(*) > 1)),
+    flagged AS (SELECT doc_id, a, coalesce(a - lag(a) OVER (PARTITION BY doc_id ORDER BY a) > {LENGTH}, true)::INTEGER AS fresh FROM hit),
+    numbered AS (SELECT doc_id, a, sum(fresh) OVER (PARTITION BY doc_id ORDER BY a) AS k FROM flagged),
+    spans AS (SELECT doc_id, min(a) AS lo, max(a) + {LENGTH} AS hi FROM numbered GROUP BY doc_id, k),
+    gaps AS (SELECT doc_id, lag(hi, 1, 0) OVER (PARTITION BY doc_id ORDER BY lo) AS f, lo AS t FROM spans UNION ALL SELECT doc_id, max(hi), max(n) FROM spans JOIN h USING (doc_id) GROUP BY 1),
+    kept AS (SELECT doc_id, string_agg(substring(x, (2 * f + 1)::BIGINT, (2 * (t - f))::BIGINT), '' ORDER BY f) AS k FROM gaps JOIN h USING (doc_id) GROUP BY 1),
+    gone AS (SELECT doc_id, sum(hi - lo)::BIGINT AS n_removed, count(*)::BIGINT AS n_spans FROM spans GROUP BY 1)
+    SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(from_hex(coalesce(k, x))) AS kept_sha256
+    FROM h LEFT JOIN kept USING (doc_id) LEFT JOIN gone USING (doc_id)"""
