@@ -1,4 +1,8 @@
-"""Connected components of a graph whose edges are a DataFrame, by alternating stars."""
+"""Connected components of a graph whose edges are a DataFrame, by alternating stars.
+
+Edge cases: edges with a null end and edges of a node to itself are dropped, repeated ones count once, no edges give no rows. Nodes are
+of any type that Spark orders; other columns are not read.
+"""
 
 from __future__ import annotations
 

@@ -13,7 +13,8 @@ that overlaps its own first place gives up only the lines beyond it.
 Edge cases: a null text stays null and has no lines; an empty text has one empty line and no repeated chunk. Chunks
 without a word are kept. Rows that repeat have the same chunks: with equal ids, all of them count as the same
 place only if the whole text is equal too, and then they all keep it. A chunk whose bytes differ from those of another of the
-same hash is kept in place. Other columns pass through unread.
+same hash is kept in place. Other columns pass through unread, whatever their names: inside, rows are packed in a struct. Rows with a
+null id are of one id, and go by their text. An empty table gives no rows.
 """
 
 from __future__ import annotations
