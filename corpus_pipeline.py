@@ -3,6 +3,13 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as parquet and read again as
 the next stage's docs. All but the last return the columns of documents. n_chars stays that of the input row
 where a stage leaves the text alone, and follows the text where a stage cuts it.
+
+Edge cases, for every stage: an empty table gives an empty one with the stage's columns. A null id is an id of its own, a null
+source a source of its own, and nulls in other columns pass through. A null text has no words: quality_rules drops it, and the later
+stages, given one, keep it (lines, near), take nothing of it (mix), or pack it as the closing token alone (pack). Very long
+texts are handled whole. Rows that repeat are equal in every stage: line_dedup keeps them alike, near_duplicates keeps
+all rows of the id and text that stays, mix shares their words evenly. Ties go to the smaller id. Extra columns may have any
+names; they pass through all stages but the last.
 """
 
 from __future__ import annotations
@@ -36,7 +43,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often and as far as the source schedule takes them."""
+    """Documents as often and as far as the source schedule takes them, in the order of its slots."""
     return _chars(mixing.apply(docs))
 
 

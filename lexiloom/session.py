@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -51,9 +52,11 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; one of our own only where none is set."""
+    """The folder that the cluster names in spark.checkpoint.dir; one of our own only where none is set, on a local master."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that driver and executors share")
         found = f"file://{tempfile.mkdtemp(prefix='lexiloom-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
