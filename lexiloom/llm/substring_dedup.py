@@ -321,7 +321,8 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     parts = max(1, few.count() // PART_PHRASES)
     lists = few.groupBy("_id", "_mark").agg(F.collect_list(F.struct("first", "last", "trigger", "alone")).alias("_phrases"))
     pieces = _bytes_of(texts.join(lists.hint("shuffle_hash"), ["_id", "_mark"]), kind, length)
-    ordered = _ordered(pieces.withColumn("part", F.pmod(F.xxhash64("trigger"), F.lit(parts))), kind, length)
+    # stored, so that its exchange, which cannot be split, stands in no stage with those that can
+    ordered = stored(_ordered(pieces.withColumn("part", F.pmod(F.xxhash64("trigger"), F.lit(parts))), kind, length))
     unclear = unclear.where(F.col("k") > MOST_PHRASES)
     # blocks: one that stands twice repeats at every start, one whose core stands alone at none
     lists = unclear.groupBy("_id", "_mark").agg(F.collect_list(F.struct("first", "last", "lead", "trigger", "uid", "alone")).alias("_phrases"))
