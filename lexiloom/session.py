@@ -8,7 +8,10 @@ import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
+from contextvars import ContextVar
 from pathlib import Path
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,6 +24,10 @@ DEFAULTS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 _SHIPPED: set[str] = set()
+#: Where stored() wrote each frame that it returned.
+_PLACES: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+#: Frames stored since settled() began, of this thread alone.
+_SINCE: ContextVar[list[DataFrame] | None] = ContextVar("since", default=None)
 
 
 def session(master: str = "local[*]", app: str = "lexiloom", **conf: str) -> SparkSession:
@@ -84,4 +91,30 @@ def stored(df: DataFrame) -> DataFrame:
     done again by later passes, and a lost executor costs no more than the read."""
     path = scratch(df.sparkSession, "stage")
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _PLACES[out] = path
+    if _SINCE.get() is not None:
+        _SINCE.get().append(out)
+    return out
+
+
+def released(*frames: DataFrame) -> None:
+    """Removes what stored() wrote for the frames. Only for those that nothing reads any more: all that was made of them is stored
+    in its own place. Frames that stored() did not return are left alone."""
+    for df in frames:
+        path = _PLACES.pop(df, None)
+        if path:
+            remove(df.sparkSession, path)
+
+
+def settled(make: Callable[[], DataFrame]) -> DataFrame:
+    """stored(make()), after which all that make() stored on its way is removed."""
+    made: list[DataFrame] = []
+    token = _SINCE.set(made)
+    try:
+        df = make()
+    finally:
+        _SINCE.reset(token)
+    out = stored(df)
+    released(*made)
+    return out
