@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -25,6 +27,12 @@ def stored(df: DataFrame) -> DataFrame:
     return session.stored(df)
 
 
+def settled(make: Callable[[], DataFrame]) -> DataFrame:
+    """session.settled(), with this package given to the executors."""
+    ship(SparkSession.active())
+    return session.settled(make)
+
+
 def key_of(df: DataFrame, name: str) -> Column:
     """The id column without nulls, for joins: a null becomes the least long, or a string that no id has."""
     kind = df.schema[name].dataType.simpleString()

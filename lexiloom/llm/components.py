@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexiloom.llm.common import stored
+from lexiloom.session import released
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -32,7 +33,8 @@ def components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     now = stored(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     before = None
     for _ in range(max_rounds):
-        now = stored(_star(_star(now, True), False).distinct())
+        last, now = now, stored(_star(_star(now, True), False).distinct())
+        released(last)
         # stars: every node has one edge, to a node that has none of its own; sums of hashes tell a change
         state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:

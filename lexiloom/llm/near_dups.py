@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from lexiloom.llm.common import read, stored
 from lexiloom.llm.components import components
 from lexiloom.llm.substring_dedup import Hashed
+from lexiloom.session import released
 
 CHUNKS, WIDTH = 8, 5
 SYMBOLS = CHUNKS * WIDTH
@@ -250,20 +251,24 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", siz
     ends = shared.select("node").distinct()
     sets = stored(_sets(docs, feats, ends, id_col, text_col, size))
     edges = stored(_confirmed(pairs, sets, per_cent))
-    roots = stored(components(edges))
+    roots = components(edges)
     # classes that share an entry but no component yet; the join itself drops the pairs that sketches rule out
     named = shared.select("entry", "node").join(roots, "node", "left").select("entry", "node", F.coalesce("root", "node").alias("root"))
     apart = named.groupBy("entry").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("entry")
-    named = stored(named.join(stored(apart), "entry", "left_semi"))
-    met = stored(_met(sets, nodes.join(named.select("node").distinct(), "node", "left_semi").select("node", "sig")))
-    named = stored(named.join(nodes.select("node", "n", "odd"), "node").join(met, "node"))
+    apart = stored(apart)
+    rooted = stored(named.join(apart, "entry", "left_semi"))
+    released(heads, shared, apart)
+    met = stored(_met(sets, nodes.join(rooted.select("node").distinct(), "node", "left_semi").select("node", "sig")))
+    named = stored(rooted.join(nodes.select("node", "n", "odd"), "node").join(met, "node"))
+    released(rooted, met)
     x, y = (named.select("entry", F.col("node").alias(c), F.col("root").alias(f"r{c}"), F.col("n").alias(f"n{c}"), F.col("odd").alias(f"o{c}"), F.col("long").alias(f"l{c}"), F.col("entries").alias(f"e{c}"), (F.array_position("entries", F.col("entry")).cast("int") - 1).alias(f"t{c}")) for c in "ab")
     first = "NOT arrays_overlap(slice(ea, 1, ta), slice(eb, 1, tb))"  # entries of other places are never equal
     near = f"{100 + per_cent} * {_differ('la', 'lb')} <= {100 - per_cent} * (na + nb)"
     more = x.join(y, (x["entry"] == y["entry"]) & F.expr(f"a < b AND ra <> rb AND {_possible(per_cent)} AND {first} AND {near}")).select("a", "b").join(pairs, ["a", "b"], "left_anti")
     found = stored(_confirmed(more, sets, per_cent))
     if not found.isEmpty():
-        roots = stored(components(edges.unionByName(found)))
+        roots = components(edges.unionByName(found))
+    released(pairs, sets, named, edges, found)
     of = nodes.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     first = of.groupBy("root").agg(F.min("least").alias("component_id"))
     of = of.join(first, "root").select(F.col("node").alias("_node"), "component_id")

@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiloom.llm.common import id_of, key_of, read, stored
+from lexiloom.session import released
 
 LENGTH = 400
 #: A trigger is a gram of this part of a string.
@@ -306,6 +307,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     # for the rows, in which a frequent trigger can be split
     often = stored(rows.groupBy("trigger").agg(F.count("*").alias("n")).where("n > 1").select("trigger"))
     shared = stored(rows.join(often, "trigger", "left_semi"))
+    released(often)
     # only texts that share a trigger are fetched, once
     ids = shared.select("_id", "_mark").distinct()
     named = docs.select(key_of(docs, id_col).alias("_id"), F.xxhash64(text_col).alias("_mark"), F.col(text_col).alias("_text"))
@@ -315,6 +317,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     mixed = stored(dictionary.groupBy("trigger").agg(F.count("*").alias("k"), F.min("n").alias("least")).where("k > 1 AND least = 1").select("trigger", "k"))
     unclear = dictionary.join(mixed, "trigger").select("one.*", "trigger", "k", F.monotonically_increasing_id().alias("uid"), (F.col("n") == 1).alias("alone"))
     unclear = stored(unclear)
+    released(mixed)
     kind = docs.schema[id_col].dataType.simpleString()
     # suffix arrays, where a partition of the dictionary can hold the trigger
     few = unclear.where(F.col("k") <= MOST_PHRASES)
@@ -328,7 +331,8 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     lists = unclear.groupBy("_id", "_mark").agg(F.collect_list(F.struct("first", "last", "lead", "trigger", "uid", "alone")).alias("_phrases"))
     blocks = stored(_blocks(texts.join(lists.hint("shuffle_hash"), ["_id", "_mark"]), length))
     met = stored(blocks.groupBy("trigger", "core").agg(F.count("*").alias("n"), F.max("alone").alias("any_alone")).where("n > 1 AND any_alone").select("trigger", "core"))
-    blocks = stored(blocks.join(met, ["trigger", "core"], "left_semi"))
+    all_blocks, blocks = blocks, stored(blocks.join(met, ["trigger", "core"], "left_semi"))
+    released(all_blocks, met)
     kinds = stored(blocks.groupBy("trigger", "core", "whole").agg(F.count("*").alias("n"), F.min(F.struct("alone", "uid", "at")).alias("one")))
     several = stored(kinds.groupBy("trigger", "core").agg(F.count("*").alias("k")).where("k > 1").select("trigger", "core"))
     open_ = kinds.join(several, ["trigger", "core"], "left_semi").select("one.uid", "one.at", ((F.col("n") == 1) & F.col("one.alone")).alias("alone"))
@@ -336,6 +340,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     phrase = unclear.select("uid", "_id", "_mark", "trigger", (F.col("first") + F.col("lead")).alias("place"))
     lists = open_.join(phrase, "uid").groupBy("_id", "_mark").agg(F.collect_list(F.struct("at", "place", "trigger", "uid", "alone")).alias("_blocks"))
     starts = stored(_starts(texts.join(lists.hint("shuffle_hash"), ["_id", "_mark"]), length))
+    released(several)
     twice = stored(starts.groupBy("trigger", "string").agg(F.count("*").alias("n"), F.max("alone").alias("any_alone")).where("n > 1 AND any_alone").select("trigger", "string"))
     single = starts.where("alone").join(twice, ["trigger", "string"], "left_semi").select("uid", F.col("at").alias("first"), F.col("at").alias("last"))
     block = blocks.where("alone").join(kinds.where("n > 1").select("trigger", "core", "whole"), ["trigger", "core", "whole"], "left_semi").select("uid", F.col("at").alias("first"), (F.col("at") + BLOCK_STARTS - 1).alias("last"))
