@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiloom.llm import line_dedup, mixing, near_dups, packing, quality_rules
-from lexiloom.llm.common import stored
+from lexiloom.llm.common import settled
+from lexiloom.session import released
 
 
 def _chars(docs: DataFrame) -> DataFrame:
@@ -60,5 +61,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir))
+        before, docs = docs, settled(lambda: stage(spark, docs, sf_dir))  # noqa: B023 - called at once
+        released(before)
     return STAGES[-1][1](spark, docs, sf_dir)
