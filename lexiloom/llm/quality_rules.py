@@ -11,6 +11,9 @@ measure(); filter_rows() returns the input's columns alone. An empty table gives
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +22,8 @@ from lexiloom.llm.common import SPACES, let, read, words
 #: Characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
+#: Bits of a number that hold a place in an array, which has fewer than 2^31 items.
+PLACE_BITS = 31
 #: Insults of the lexicon rule; matched as whole words in any case.
 INSULTS = ("idiot", "idiots", "moron", "morons", "worthless", "stupid", "scum", "vermin", "imbecile")
 
@@ -51,26 +56,36 @@ POLICIES: dict[str, int] = {
 POLICY = "prose-1"
 
 
-def _count_of(text: Column, chars: str) -> Column:
-    return F.length(text) - F.length(F.translate(text, chars, ""))
+def _insults(text: Column) -> Column:
+    """Insults in the text. One that holds none of their letters in a row is not searched for whole words."""
+    low = F.lower(text)
+    stems = [x for x in INSULTS if not any(y != x and y in x for y in INSULTS)]
+    some = reduce(or_, [F.contains(low, F.lit(x)) for x in stems])
+    return F.when(some, F.regexp_count(text, F.lit(r"(?i)\b(?:" + "|".join(INSULTS) + r")\b"))).otherwise(F.lit(0))
 
 
 def _repeat_words(w: Column) -> Column:
     """Words inside a WINDOW-word window that the text holds twice or more.
 
-    Hashes decide first: where all window hashes differ, no window repeats. Otherwise the windows themselves
-    are sorted with their places and equal neighbours marked, so a long repetitive text costs n log n."""
+    Hashes decide first: where all window hashes differ, no window repeats. Otherwise numbers that hold the lowest bits of a
+    hash above the window's place are sorted; windows beside one of the same bits are candidates. These alone are
+    sorted as words, with their places, and equal neighbours marked. So a long repetitive text costs n log n."""
     n = F.size(w)
-    starts = F.sequence(F.lit(0), n - WINDOW)
-    hashes = F.transform(starts, lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(WINDOW)]))
-    repeats = let(hashes, lambda h: F.size(F.array_distinct(h)) < F.size(h))
-    windows = F.sort_array(F.transform(starts, lambda i: F.struct(F.array_join(F.slice(w, i + 1, WINDOW), " ").alias("w"), i.alias("p"))))
+    hashes = F.transform(F.slice(w, 1, n - WINDOW + 1), lambda x, i: F.xxhash64(x, *[F.get(w, i + k) for k in range(1, WINDOW)]))
+    return F.when(n < WINDOW, F.lit(0)).otherwise(let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) < F.size(h), _covered(w, h)).otherwise(F.lit(0)))).cast("long")
+
+
+def _covered(w: Column, hashes: Column) -> Column:
+    places = F.lit((1 << PLACE_BITS) - 1)
+    keys = F.sort_array(F.transform(hashes, lambda h, i: F.shiftleft(h, PLACE_BITS).bitwiseOR(i.cast("long"))))
+    same = lambda x, y: F.coalesce(F.shiftright(x.bitwiseXOR(y), PLACE_BITS) == 0, F.lit(False))
+    found = let(keys, lambda s: F.filter(s, lambda x, i: ((i > 0) & same(F.get(s, i - 1), x)) | same(F.get(s, i + 1), x)))
+    windows = F.sort_array(F.transform(found, lambda x: let(x.bitwiseAND(places).cast("int"), lambda p: F.struct(F.array_join(F.slice(w, p + 1, WINDOW), " ").alias("w"), p.alias("p")))))
     marked = let(
         windows,
         lambda s: F.sort_array(F.transform(F.filter(s, lambda x, i: ((i > 0) & (F.get(s, i - 1)["w"] == x["w"])) | F.coalesce(F.get(s, i + 1)["w"] == x["w"], F.lit(False))), lambda x: x["p"])),
     )
-    covered = let(marked, lambda p: F.aggregate(F.transform(p, lambda x, i: F.coalesce(F.least(F.lit(WINDOW), F.get(p, i + 1) - x), F.lit(WINDOW))), F.lit(0), lambda a, b: a + b))
-    return F.when(n < WINDOW, F.lit(0)).when(repeats, covered).otherwise(F.lit(0)).cast("long")
+    return let(marked, lambda p: F.aggregate(F.transform(p, lambda x, i: F.coalesce(F.least(F.lit(WINDOW), F.get(p, i + 1) - x), F.lit(WINDOW))), F.lit(0), lambda a, b: a + b))
 
 
 def _adjacent(w: Column) -> Column:
@@ -85,19 +100,19 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     df = df.select(id_col, text.alias("_text"), words(text).alias("_words"))
     # let() keeps a measurement in one piece: moved below by the optimizer, it still splits the text once
     t, w = F.col("_text"), F.col("_words")
-    lines = F.filter(F.split(t, "\n"), lambda x: F.translate(x, SPACES, "") != "")
+    lines = F.filter(F.split(t, "\n"), lambda x: F.btrim(x, F.lit(SPACES)) != "")
     n_lines = let(lines, lambda x: F.struct(F.size(x).alias("n"), (F.size(x) - F.size(F.array_distinct(x))).alias("dup")))
     df = df.select(
         id_col,
         F.size(w).cast("long").alias("n_words"),
-        (F.length(t) - _count_of(t, SPACES)).cast("long").alias("word_chars"),
-        _count_of(t, SYMBOLS).cast("long").alias("n_symbols"),
+        F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
+        F.regexp_count(t, F.lit(f"[{SYMBOLS}]")).cast("long").alias("n_symbols"),
         n_lines.alias("_lines"),
         let(w, _repeat_words).alias("n_repeat_words"),
-        _count_of(t, "!").cast("long").alias("n_exclaim"),
+        (F.length(t) - F.length(F.replace(t, F.lit("!"), F.lit("")))).cast("long").alias("n_exclaim"),
         (F.length(t) - F.length(F.regexp_replace(t, r"\p{Lu}+", ""))).cast("long").alias("n_upper"),
         let(w, _adjacent).cast("long").alias("n_adjacent"),
-        F.regexp_count(t, F.lit(r"(?i)\b(?:" + "|".join(INSULTS) + r")\b")).cast("long").alias("n_insults"),
+        _insults(t).cast("long").alias("n_insults"),
     )
     return df.select(id_col, *[F.col("_lines")["n"].cast("long").alias(m) if m == "n_lines" else F.col("_lines")["dup"].cast("long").alias(m) if m == "n_dup_lines" else F.col(m) for m in MEASURES])
 
