@@ -151,7 +151,8 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count
     """docs with text_col less its repeated chunks and, with extend, passages. With counts: id and text alone, then n_lines, n_removed (lines) and n_chunks."""
     gone = stored(removals(docs, id_col, text_col, extend))
     own = docs.columns
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("_row"), F.col(id_col).alias("_i"), F.xxhash64(text_col).alias("_m"), F.col(text_col).alias("_text"))
+    # the text stands beside the other columns, not in their struct too, so that it is moved once
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in own if c != text_col]).alias("_row"), F.col(id_col).alias("_i"), F.xxhash64(text_col).alias("_m"), F.col(text_col).alias("_text"))
     joined = packed.join(gone.select(F.col("_id"), F.col("_mark"), "_gone").hint("shuffle_hash"), F.col("_i").eqNullSafe(F.col("_id")) & (F.col("_m") == F.col("_mark")), "left")
 
     @F.pandas_udf("text string, n_lines long, n_removed long, n_chunks long")
@@ -161,10 +162,14 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count
         out = [(None, 0, 0, 0) if t is None else _kept(t, set() if g is None else set(g)) for t, g in zip(texts, gone_, strict=True)]
         return pd.DataFrame(out, columns=["text", "n_lines", "n_removed", "n_chunks"])
 
-    done = joined.select("_row", cut("_text", "_gone").alias("_cut"))
     if counts:
+        done = joined.select("_row", cut("_text", "_gone").alias("_cut"))
         return done.select(F.col("_row")[id_col].alias(id_col), F.col("_cut")["text"].alias(text_col), "_cut.n_lines", "_cut.n_removed", "_cut.n_chunks")
-    return done.select(*[F.col("_cut")["text"].alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in own])
+    # only texts that lose lines go through Python
+    changed = F.col("_gone").isNotNull()
+    done = joined.select("_row", "_text", changed.alias("_changed"), cut(F.when(changed, F.col("_text")), "_gone").alias("_cut"))
+    left = F.when(F.col("_changed"), F.col("_cut")["text"]).otherwise(F.col("_text"))
+    return done.select(*[left.alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in own])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 
 from lexiloom.llm import line_dedup as L
 
@@ -118,3 +119,14 @@ def test_planted_passages_go_whole(spark, tmp_path):
         path.mkdir()
         got = L.query(spark, write(path, frame(spark, planted(n_lines), False, "doc_id long, text string"))).collect()
         assert {r["doc_id"]: r["n_removed"] for r in got} == {i: n_lines * (i % 2) for i in range(80)}
+
+
+def test_text_moves_once_and_only_changed_texts_go_through_python(spark):
+    rows = corpus(5)
+    df = spark.createDataFrame([(d, "src", t) for d, t in rows], "doc_id long, source string, text string")
+    out = L.dedup(df)
+    assert out.columns == df.columns
+    assert sorted((r["doc_id"], r["text"] or "", r["text"] is None) for r in out.collect()) == sorted((d, t or "", t is None) for (d, _), t in zip(rows, plain(rows), strict=True))
+    plan = out._jdf.queryExecution().analyzed().toString()
+    assert re.search(r"struct\(doc_id, doc_id#\d+L?, source, source#\d+\) AS _row", plan)
+    assert re.search(r"cut\(CASE WHEN isnotnull\(_gone#\d+\) THEN _text#\d+ END, _gone#\d+\)", plan)
