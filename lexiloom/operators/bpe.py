@@ -151,11 +151,13 @@ def learn(docs: DataFrame, vocab_size: int = VOCAB_SIZE, min_frequency: int = 1,
         room = vocab_size - 1 - len(special)
         # at most as many as there are code points, and as the vocabulary has room for
         alphabet = [r["symbol"] for r in alphabet_counts(counts).orderBy(F.desc("n"), "symbol").limit(max(0, room)).collect()]
-        kept = counts.where(F.col("n") >= min_frequency)
-        if (n := kept.count()) > MOST_WORDS:
-            least = kept.orderBy(F.desc("n")).limit(MOST_WORDS).agg(F.min("n")).first()[0]
-            raise ValueError(f"{n} words stand {min_frequency} times or more; the driver learns from {MOST_WORDS}: min_frequency={least + 1} would do")
-        words = [(r["word"], r["n"]) for r in kept.toLocalIterator()]
+        words: list[tuple[str, int]] = []
+        if len(alphabet) < room:  # where characters take all the room there are no merges, and no word is wanted
+            kept = counts.where(F.col("n") >= min_frequency)
+            if (n := kept.count()) > MOST_WORDS:
+                least = kept.orderBy(F.desc("n")).limit(MOST_WORDS).agg(F.min("n")).first()[0]
+                raise ValueError(f"{n} words stand {min_frequency} times or more; the driver learns from {MOST_WORDS}: min_frequency={least + 1} would do")
+            words = [(r["word"], r["n"]) for r in kept.toLocalIterator()]
     finally:
         counts.unpersist()
     base = sorted(alphabet)

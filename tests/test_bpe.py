@@ -108,3 +108,9 @@ def test_too_many_words_are_refused(spark, monkeypatch):
     monkeypatch.setattr(bpe, "MOST_WORDS", 2)
     with pytest.raises(ValueError, match="min_frequency"):
         bpe.learn(frame(spark), 80)
+
+
+def test_a_full_vocabulary_wants_no_words(spark, monkeypatch):
+    monkeypatch.setattr(bpe, "MOST_WORDS", 2)
+    small = bpe.learn(frame(spark), 6)
+    assert len(small.tokens) == 6 and not small.merges
