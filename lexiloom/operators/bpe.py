@@ -15,17 +15,21 @@ from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiloom.functions.text import normalize, normalize_text
+from lexiloom.functions.text import SLICE_BYTES, normalize, normalize_text, sliced
 from lexiloom.operators.frequencies import alphabet_counts, word_counts
 
 VOCAB_SIZE = 65_535
 UNKNOWN = "<unk>"
 #: Words that the driver learns from at most: about 2 KB each while merges run.
 MOST_WORDS = 4_000_000
+#: Tokens that Python decodes at once within a batch.
+SLICE_TOKENS = 1 << 20
 
 
 def merges_of(words: Iterable[tuple[str, int]], n_merges: int) -> list[tuple[str, str]]:
@@ -172,10 +176,26 @@ def learn(docs: DataFrame, vocab_size: int = VOCAB_SIZE, min_frequency: int = 1,
     return Vocabulary(tokens, merges, list(special), turkish)
 
 
+def cut_words(text: str, limit: int) -> list[str]:
+    """The text in parts of at most `limit` characters, each cut after a space or a line end; a part without either is longer."""
+    out, at = [], 0
+    while len(text) - at > limit:
+        end = max(text.rfind(" ", at, at + limit), text.rfind("\n", at, at + limit)) + 1
+        if end == 0:
+            after = [k for k in (text.find(" ", at + limit), text.find("\n", at + limit)) if k >= 0]
+            if not after:
+                break
+            end = min(after) + 1
+        out.append(text[at:end])
+        at = end
+    return [*out, text[at:]]
+
+
 def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", out: str = "tokens", separator: int | None = None, normalized: bool = False, turkish: bool = False) -> DataFrame:
     """docs with `out`, the ids of the text, and `separator` after them if given. A null text has no ids of its own.
 
-    A vocabulary learned with `turkish` is applied so. It goes to each worker once; batches are encoded by the tokenizers library."""
+    A vocabulary learned with `turkish` is applied so. It goes to each worker once; batches are encoded by the tokenizers library,
+    SLICE_BYTES of text at a time, since its results take some hundred bytes a token. No token spans words, so longer texts are encoded in parts."""
     spec, turkish = docs.sparkSession.sparkContext.broadcast(vocabulary.json(normalizer=False)), turkish or vocabulary.turkish  # bounded by the size of the vocabulary
     cols = [c for c in docs.columns if c != out]
     k = cols.index(text_col)
@@ -186,12 +206,22 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", out:
 
         tokenizer = Tokenizer.from_str(spec.value)
         tokenizer.encode_special_tokens = True
+
+        def ids_of(texts: list[str]) -> Iterator[np.ndarray]:
+            for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+                yield np.array(e.ids, "i4")
+
         for batch in batches:
-            texts = [t or "" for t in batch.column(k).to_pylist()]
-            if not normalized:
-                texts = [normalize_text(t, turkish) for t in texts]
-            ids = [e.ids + end for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.list_(pa.int32()))], names=[*cols, out])
+            for part in sliced(batch, pc.binary_length(batch.column(k)), SLICE_BYTES):
+                texts = [t or "" for t in part.column(k).to_pylist()]
+                if not normalized:
+                    texts = [normalize_text(t, turkish) for t in texts]
+                short = ids_of([t for t in texts if len(t) <= SLICE_BYTES])
+                ids = [next(short) if len(t) <= SLICE_BYTES else np.concatenate([next(ids_of([p])) for p in cut_words(t, SLICE_BYTES)]) for t in texts]
+                ids = [np.concatenate((i, np.array(end, "i4"))) for i in ids] if end else ids
+                offsets = np.cumsum([0, *map(len, ids)], dtype="i4")
+                tokens = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids), pa.int32()))
+                yield pa.RecordBatch.from_arrays([*part.columns, tokens], names=[*cols, out])
 
     rows = docs.select(*[F.col(f"`{c}`") for c in cols])
     return rows.mapInArrow(run, rows.withColumn(out, F.array().cast("array<int>")).schema)
@@ -203,7 +233,11 @@ def decode(rows: DataFrame, vocabulary: Vocabulary, tokens_col: str = "tokens",
 
     @F.arrow_udf("string")
     def run(values: pa.Array) -> pa.Array:
-        text = tokens.value
-        return pa.array([None if ids is None else "".join([text[i] for i in ids]) for ids in values.to_pylist()], pa.string())
+        text, parts = pa.array(tokens.value, pa.string()), []
+        for part in sliced(values, pc.list_value_length(values), SLICE_TOKENS):
+            ends = np.cumsum([0, *pc.fill_null(pc.list_value_length(part), 0).to_pylist()], dtype="i4")
+            each = pa.ListArray.from_arrays(pa.array(ends), text.take(part.flatten()), mask=part.is_null())
+            parts.append(pc.binary_join(each, ""))
+        return pa.concat_arrays(parts or [pa.array([], pa.string())])
 
     return rows.withColumn(out, run(F.col(tokens_col)))

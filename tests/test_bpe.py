@@ -114,3 +114,23 @@ def test_a_full_vocabulary_wants_no_words(spark, monkeypatch):
     monkeypatch.setattr(bpe, "MOST_WORDS", 2)
     small = bpe.learn(frame(spark), 6)
     assert len(small.tokens) == 6 and not small.merges
+
+
+def test_slices_change_no_ids(spark, monkeypatch):
+    v = bpe.learn(frame(spark), 80, 1)
+    texts = [*TEXTS, " ".join(TEXTS[0] for _ in range(40)) + "\n" + "şapka" * 30 + " yukarı"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+
+    def ids():
+        rows = bpe.encode(df, v, separator=1)
+        return [(r["doc_id"], r["tokens"], r["text"]) for r in bpe.decode(rows.drop("text"), v).orderBy("doc_id").collect()]
+
+    whole = ids()
+    monkeypatch.setattr(bpe, "SLICE_BYTES", 16)
+    monkeypatch.setattr(bpe, "SLICE_TOKENS", 3)
+    assert ids() == whole and len(whole) == len(texts)
+
+
+def test_cut_words():
+    assert bpe.cut_words("ab cd\nefghijkl m no p", 4) == ["ab ", "cd\n", "efghijkl ", "m ", "no p"]
+    assert bpe.cut_words("abcdefgh", 3) == ["abcdefgh"] and bpe.cut_words("", 3) == [""]
